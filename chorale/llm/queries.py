@@ -7,8 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_encode
+from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
 from .shared import table, text_of
+from .url_filter import LISTED, RULE_ALLOW, RULE_BLOCK, filter_urls
+
+#: The rules of the URL query.
+URL_RULES = (("org/", RULE_ALLOW), ("example.org/es/", RULE_BLOCK), ("example.org/en/1", RULE_BLOCK), ("com/fr/", RULE_ALLOW), ("com/de/", RULE_BLOCK))
+#: The block list that decides where no rule fits: hosts and starts of paths.
+URL_BLOCK_LIST = ("ads.example.net/", "blog.example.com/es/", "example.net/es/", "m.example.com/en/9", "tracker.example.com/")
+#: A file of /opt/tokenizers.
+TOKENIZER_FILE = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +40,80 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sorted_digest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = [*URL_RULES, *((e, LISTED) for e in URL_BLOCK_LIST)]
+    return filter_urls(table(spark, sf_dir, "pages"), entries).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=("doc_id", "source"))
+    return judged.select("doc_id", *METRICS, "base_failed", "kept")
+
+
+def op8_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_histogram_sort": op3_histogram_sort,
+    "op4_sorted_digest_array": op4_sorted_digest_array,
+    "op6_host_quality_rules": op6_host_quality_rules,
+    "op8_rank_array_bpe": op8_rank_array_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _sql_entries() -> str:
+    says = {RULE_ALLOW: "allow", RULE_BLOCK: "block"}
+    return ", ".join([f"('{e}', '{says[k]}')" for e, k in URL_RULES] + [f"('{e}', 'listed')" for e in URL_BLOCK_LIST])
+
+
+_WORD_SPLIT = r"[\x20\x09-\x0D]+"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_sorted_digest_array": rf"""
+        WITH parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+            FROM pages),
+        entries(entry, says) AS (VALUES {_sql_entries()}),
+        cut AS (SELECT entry, says, split_part(entry, '/', 1) AS on_host, substr(entry, strpos(entry, '/')) AS on_path FROM entries),
+        fits AS (
+            SELECT page_id, says, entry, row_number() OVER (PARTITION BY page_id, says = 'listed' ORDER BY length(entry) DESC, length(on_host) DESC) AS n
+            FROM parts JOIN cut ON (host = on_host OR ends_with(host, '.' || on_host)) AND starts_with(path, on_path))
+        SELECT p.page_id, host, path, r.entry AS rule,
+               CASE WHEN r.says IS NOT NULL THEN r.says WHEN l.page_id IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+        FROM parts p
+        LEFT JOIN fits r ON r.page_id = p.page_id AND r.says <> 'listed' AND r.n = 1
+        LEFT JOIN fits l ON l.page_id = p.page_id AND l.says = 'listed' AND l.n = 1""",
+    "op6_host_quality_rules": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '{_WORD_SPLIT}'), lambda w: w <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        windows AS (SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+        repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM windows) WHERE c >= 2),
+        covered AS (SELECT r, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS t(k) GROUP BY r),
+        measured AS (
+            SELECT d.r, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(text, '{_WORD_SPLIT}', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+            FROM d LEFT JOIN covered c ON c.r = d.r),
+        failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+        hosts AS (SELECT source, count(*) AS n, CAST(count(*) FILTER (WHERE base_failed) AS BIGINT) AS f FROM failed GROUP BY source),
+        moments AS (SELECT sum(n)::DOUBLE AS n, sum(f)::DOUBLE / sum(n) AS m, count(*) AS k, sum(f * f / n::DOUBLE) AS ff_n, sum(n * n)::DOUBLE AS nn FROM hosts),
+        spread AS (SELECT m, m * (1 - m) AS within, ((ff_n - n * m * m) - (k - 1) * m * (1 - m)) / greatest(n - nn / n, 1e-9) AS between FROM moments),
+        prior AS (SELECT m, CASE WHEN between > 0 AND within > 0 THEN least(greatest(within / between - 1, 2.0), 1000.0) ELSE 1000.0 END AS s FROM spread),
+        rates AS (SELECT source, (f + m * s) / (n + s) AS rate FROM hosts, prior)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate < 0.5 AS kept
+        FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source""",
+}
