@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
+from .pii import count_of, find_pii, spans_text
 from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
 from .shared import table, text_of
@@ -45,6 +46,17 @@ def op4_sorted_digest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), entries).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_checked_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    pii = F.col("pii")
+    return found.select(
+        "doc_id",
+        *[count_of(pii, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(spans_text(pii, base_only=True).cast("binary"), 256).alias("base_sha256"),
+        spans_text(pii).alias("spans"),
+    )
+
+
 def op6_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=("doc_id", "source"))
     return judged.select("doc_id", *METRICS, "base_failed", "kept")
@@ -63,6 +75,7 @@ def op8_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_histogram_sort": op3_histogram_sort,
     "op4_sorted_digest_array": op4_sorted_digest_array,
+    "op5_checked_pii_spans": op5_checked_pii_spans,
     "op6_host_quality_rules": op6_host_quality_rules,
     "op8_rank_array_bpe": op8_rank_array_bpe,
 }

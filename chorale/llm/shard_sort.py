@@ -71,7 +71,7 @@ def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: i
                 target = total * i / n_pieces
                 at = min(max(bisect_right(bytes_at, target) - 1, 0), len(cells) - 1)
                 below, above = bytes_at[at], bytes_at[at + 1]
-                if min(target - below, above - target) <= allowed or depth >= width:
+                if min(target - below, above - target) <= allowed or cells[at]["rows"] == 1 or depth >= width:
                     at += above - target < target - below
                     done[i] = (cells[at]["cell"] if at < len(cells) else parent + "g", rows_at[at])  # "g" sorts after every digit
                 else:
