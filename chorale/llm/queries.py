@@ -12,6 +12,7 @@ from .pii import count_of, find_pii, spans_text
 from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
 from .shared import table, text_of
+from .simhash import near_duplicates
 from .url_filter import LISTED, RULE_ALLOW, RULE_BLOCK, filter_urls
 
 #: The rules of the URL query.
@@ -72,12 +73,18 @@ def op8_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), carry=("doc_id",))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_histogram_sort": op3_histogram_sort,
     "op4_sorted_digest_array": op4_sorted_digest_array,
     "op5_checked_pii_spans": op5_checked_pii_spans,
     "op6_host_quality_rules": op6_host_quality_rules,
     "op8_rank_array_bpe": op8_rank_array_bpe,
+    "op9_pigeonring_simhash": op9_pigeonring_simhash,
 }
 
 
