@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import quoted, text_of, without
+from .shared import quoted, ship, text_of, without
 
 #: A word of more parts than this is merged with a heap.
 SHORT_PARTS = 200
@@ -196,6 +196,7 @@ class _Vocabulary:
 
 def encoder(spark: SparkSession, path: str):
     """A column function: text (null: empty) to ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (text)."""
+    ship(spark)
     vocabulary = _Vocabulary(spark, path)
 
     @F.arrow_udf("struct<ids: binary, decoded: string>")

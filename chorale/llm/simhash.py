@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import checkpointed, quoted, text_of, without, written
+from .shared import checkpointed, quoted, ship, text_of, without, written
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
 #: Fingerprints under one key above which the key is refined.
@@ -142,6 +142,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     not count as smallest: a component of null ids only has a null component_id.  Repeated rows stay.  Input columns named
     fp or component_id (in any case) are replaced.  An empty table gives no rows.
     """
+    ship(docs.sparkSession)
     docs = without(docs, "fp", "component_id")
     carried = [F.col(quoted(c)) for c in (docs.columns if carry is None else carry)]
     ids = F.col(quoted(id_col))
@@ -154,6 +155,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component: the one with the smallest id (a null id is smaller), then any one of equal ids."""
+    ship(docs.sparkSession)
     names = docs.columns
     marked = written(docs.select("*", fingerprint(text_of(F.col(quoted(text_col)))).alias("__fp"), F.monotonically_increasing_id().alias("__row")), "fingerprints")
     rank = F.struct(F.col(quoted(id_col)).alias("id"), F.col("__row").alias("row"))

@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import quoted, without
+from .shared import quoted, ship, without
 
 #: What an entry says: a rule's verdict beats the list's.
 RULE_ALLOW, RULE_BLOCK, LISTED = 0, 1, 2
@@ -171,6 +171,7 @@ def filter_urls(pages: DataFrame, entries: Iterable[tuple[str, int]], url_col: s
     columns named host, path, rule or verdict (in any case) are replaced.  An empty table gives no rows.
     """
     spark = pages.sparkSession
+    ship(spark)
     name = f"digests-{uuid.uuid4().hex}"
     local = os.path.join(tempfile.mkdtemp(prefix="chorale-"), name)
     DigestArray.build(entries, local)
