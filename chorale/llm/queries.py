@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
+from .decontam import find_leaks
+from .langid import held_out, learn, predict
 from .pii import count_of, find_pii, spans_text
 from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
@@ -29,6 +31,11 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = histogram_shards(table(spark, sf_dir, "documents"), n_shards=16)
     return placed.select(
@@ -78,13 +85,21 @@ def op9_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hashed_ngram_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn(docs.where(~held_out("doc_id")))
+    return predict(docs.drop("lang"), model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pigeonhole_leaks": op2_pigeonhole_leaks,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_sorted_digest_array": op4_sorted_digest_array,
     "op5_checked_pii_spans": op5_checked_pii_spans,
     "op6_host_quality_rules": op6_host_quality_rules,
     "op8_rank_array_bpe": op8_rank_array_bpe,
     "op9_pigeonring_simhash": op9_pigeonring_simhash,
+    "op10_hashed_ngram_bayes": op10_hashed_ngram_bayes,
 }
 
 
