@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from .bpe import bpe_encode
 from .decontam import find_leaks
 from .langid import held_out, learn, predict
+from .license_scan import CUES, MIN_COSINE, TEMPLATES, scan_licenses
 from .pii import count_of, find_pii, spans_text
 from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
 from .shared import table, text_of
 from .simhash import near_duplicates
 from .url_filter import LISTED, RULE_ALLOW, RULE_BLOCK, filter_urls
+from .warc import resolve_revisits
 
 #: The rules of the URL query.
 URL_RULES = (("org/", RULE_ALLOW), ("example.org/es/", RULE_BLOCK), ("example.org/en/1", RULE_BLOCK), ("com/fr/", RULE_ALLOW), ("com/de/", RULE_BLOCK))
@@ -31,6 +33,38 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def captures_of(pages: DataFrame) -> DataFrame:
+    """Captures that the pages stand for: each page is a full response, and is asked for again up to two days later.
+
+    Every seventh answer has another entity tag, and every eleventh has none.
+    """
+    page, at = F.col("page_id"), F.col("page_id") * 60
+    again = at + 30 + 86400 * (page % 3)
+    tag = F.concat(F.lit('"'), F.substring(F.md5(text_of("html").cast("binary")), 1, 16), F.lit('"'))
+    text = lambda c: c.cast("string")
+    response = F.create_map(
+        F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), text(at), F.lit("ETag"), tag,
+        F.lit("Cache-Control"), F.lit("max-age=3600"), F.lit("Content-Length"), text(F.octet_length(text_of("html"))),
+    )
+    answer = F.create_map(
+        F.lit("Date"), text(again), F.lit("ETag"), F.when(page % 11 == 0, F.lit(None)).when(page % 7 == 0, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), tag)),
+        F.lit("Cache-Control"), F.concat(F.lit("max-age="), text(60 * (1 + page % 5))), F.lit("Content-Length"), F.lit("0"),
+    )
+    answer = F.map_filter(answer, lambda _, v: v.isNotNull())
+    row = lambda k, when, kind, status, headers: F.struct(
+        (2 * page + k).alias("record_id"), when.alias("captured_at"), F.lit(kind).alias("record_type"), F.lit(status).alias("status"), headers.alias("headers")
+    )
+    both = F.array(row(0, at, "response", 200, response), row(1, again, "revisit", 304, answer))
+    return pages.select("page_id", "url", F.explode(both).alias("c")).select("page_id", "url", "c.*")
+
+
+def op1_revisit_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = resolve_revisits(captures_of(table(spark, sf_dir, "pages")))
+    lines = F.array_sort(F.transform(F.map_entries("merged_headers"), lambda e: F.concat_ws(": ", F.lower(e["key"]), e["value"])))
+    known = lambda c: F.coalesce(c, F.lit(-1)).alias(c)
+    return resolved.select("page_id", "record_id", "canonical_url", "outcome", known("response_id"), known("age"), F.array_join(lines, "\n").alias("merged_headers"))
+
+
 def op2_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
@@ -70,6 +104,18 @@ def op6_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *METRICS, "base_failed", "kept")
 
 
+def files_of(docs: DataFrame) -> DataFrame:
+    """The documents as files: a repository for each source, directories of 4,096 and 64 ids, and a licence file in every 16."""
+    name = F.when(F.col("doc_id") % 16 == 0, "LICENSE").otherwise(F.concat(F.lit("file"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    step = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    return docs.select("doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("none")), step(4096), step(64), name).alias("path"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(files_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"))
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 def op8_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_encode(table(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select(
@@ -92,11 +138,13 @@ def op10_hashed_ngram_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_revisit_asof": op1_revisit_asof,
     "op2_pigeonhole_leaks": op2_pigeonhole_leaks,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_sorted_digest_array": op4_sorted_digest_array,
     "op5_checked_pii_spans": op5_checked_pii_spans,
     "op6_host_quality_rules": op6_host_quality_rules,
+    "op7_license_scan": op7_license_scan,
     "op8_rank_array_bpe": op8_rank_array_bpe,
     "op9_pigeonring_simhash": op9_pigeonring_simhash,
     "op10_hashed_ngram_bayes": op10_hashed_ngram_bayes,
@@ -108,9 +156,45 @@ def _sql_entries() -> str:
     return ", ".join([f"('{e}', '{says[k]}')" for e, k in URL_RULES] + [f"('{e}', 'listed')" for e in URL_BLOCK_LIST])
 
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_URL_PARTS = r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)"
+_CUES = CUES.replace("'", "''")
+#: The gap between terms without look-around; inner dots stay, outer ones are trimmed.
+_TERM_GAP = r"[^a-z0-9.]+"
 _WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_revisit_asof": rf"""
+        WITH parts AS (
+            SELECT page_id, page_id * 60 AS at, page_id * 60 + 30 + 86400 * (page_id % 3) AS again,
+                   '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, strlen(coalesce(html, '')) AS size,
+                   regexp_replace(regexp_replace(translate(regexp_extract(url, '{_URL_PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^www[.]', ''), ':(80|443)$', '') AS host,
+                   regexp_replace(regexp_extract(url, '{_URL_PARTS}', 2), '/+$', '') AS path,
+                   list_sort(list_filter(string_split(regexp_extract(url, '{_URL_PARTS}', 3), '&'),
+                       lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)='))) AS params
+            FROM pages),
+        canon AS (
+            SELECT *, CASE WHEN host <> '' THEN host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS key,
+                   CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"other"' ELSE tag END AS asked
+            FROM parts),
+        pairs AS (
+            SELECT r.page_id, r.key, r.again, r.asked, s.page_id AS found, s.at AS found_at, s.tag AS found_tag, s.size AS found_size,
+                   row_number() OVER (PARTITION BY r.page_id ORDER BY s.at DESC NULLS LAST, s.page_id DESC) AS n
+            FROM canon r LEFT JOIN canon s ON r.key = s.key AND s.at < r.again),
+        judged AS (
+            SELECT *, CASE WHEN found IS NULL THEN 'orphan' WHEN asked IS NULL THEN 'unverified' WHEN asked = found_tag THEN 'resolved' ELSE 'mismatch' END AS outcome
+            FROM pairs WHERE n = 1)
+        SELECT page_id, 2 * page_id + 1 AS record_id, key AS canonical_url, outcome,
+               CASE WHEN outcome = 'resolved' THEN 2 * found ELSE -1 END AS response_id,
+               CASE WHEN outcome = 'resolved' THEN again - found_at ELSE -1 END AS age,
+               CASE WHEN outcome = 'resolved' THEN
+                   'cache-control: max-age=' || (60 * (1 + page_id % 5)) || chr(10) || 'content-length: ' || found_size || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || again || chr(10) || 'etag: W/' || found_tag
+               END AS merged_headers
+        FROM judged""",
     "op4_sorted_digest_array": rf"""
         WITH parts AS (
             SELECT page_id,
@@ -151,4 +235,38 @@ ORACLE_SQL: dict[str, str] = {
         rates AS (SELECT source, (f + m * s) / (n + s) AS rate FROM hosts, prior)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate < 0.5 AS kept
         FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source""",
+    "op7_license_scan": rf"""
+        WITH templates(template, licence, text) AS (VALUES {", ".join(f"({n}, {_quoted(a)}, {_quoted(b)})" for n, (a, b) in enumerate(TEMPLATES))}),
+        vectors AS (
+            SELECT template, licence, term, count(*) AS tf
+            FROM (SELECT template, licence, unnest(regexp_split_to_array(lower(text), '{_TERM_GAP}')) AS raw FROM templates), LATERAL (SELECT trim(raw, '.') AS term)
+            WHERE term <> '' GROUP BY ALL),
+        files AS (
+            SELECT doc_id, coalesce(source, 'none') || '/' || (doc_id // 4096) || '/' || (doc_id // 64) AS dir, doc_id % 16 = 0 AS is_file, coalesce(text, '') AS text,
+                   CASE WHEN doc_id % 16 = 0 THEN 'LICENSE' ELSE 'file' || doc_id || '.txt' END AS name
+            FROM documents),
+        headers AS (
+            SELECT doc_id, CASE WHEN is_file THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{_CUES}')), chr(10)) END AS header
+            FROM files WHERE regexp_matches(text, '{_CUES}')),
+        counts AS (
+            SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(header), '{_TERM_GAP}')) AS raw FROM headers), LATERAL (SELECT trim(raw, '.') AS term)
+            WHERE term <> '' GROUP BY ALL),
+        total AS (SELECT count(*)::DOUBLE AS n FROM headers),
+        df AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+        idf AS (SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM vectors) LEFT JOIN df USING (term), total),
+        weighted AS (SELECT template, licence, term, tf * idf AS w FROM vectors JOIN idf USING (term)),
+        lengths AS (SELECT template, sqrt(sum(w * w)) AS length FROM weighted GROUP BY template),
+        mine AS (SELECT doc_id, term, tf * coalesce(idf, ln(1 + n) + 1) AS w FROM counts LEFT JOIN idf USING (term), total),
+        norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM mine GROUP BY doc_id),
+        scored AS (
+            SELECT m.doc_id, v.licence, round(sum(m.w * v.w) / any_value(l.length) / any_value(norm), 9) AS cosine
+            FROM mine m JOIN weighted v USING (term) JOIN lengths l USING (template) JOIN norms USING (doc_id) GROUP BY m.doc_id, v.template, v.licence),
+        own AS (SELECT doc_id, licence, cosine FROM scored WHERE cosine >= {MIN_COSINE} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence) = 1),
+        judged AS (SELECT f.*, licence, cosine FROM files f LEFT JOIN own USING (doc_id)),
+        dirs AS (SELECT dir, licence, cosine FROM judged WHERE is_file AND licence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, licence) = 1)
+        SELECT j.doc_id, j.dir || '/' || name AS path, coalesce(j.licence, d.licence) AS license, round(coalesce(j.cosine, d.cosine), 6) AS cosine,
+               CASE WHEN j.licence IS NOT NULL THEN CASE WHEN is_file THEN 'file' ELSE 'header' END WHEN d.dir IS NOT NULL THEN 'inherited' END AS via,
+               CASE WHEN j.licence IS NULL THEN d.dir END AS from_dir
+        FROM judged j LEFT JOIN dirs d ON d.dir = j.dir""",
 }
