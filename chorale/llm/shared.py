@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship as ship
+
 #: ASCII white space as the contracts of the text operators define it.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -25,20 +24,6 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def ship(spark: SparkSession) -> None:
-    """Give Python workers this package, once per context: executors need not have it installed."""
-    sc = spark.sparkContext
-    if getattr(sc, "_chorale_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="chorale-"), f"{package.name}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    sc.addPyFile(archive)
-    sc._chorale_shipped = True
-
-
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, and a lost executor costs nothing."""
     spark = df.sparkSession
