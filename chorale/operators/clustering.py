@@ -170,12 +170,19 @@ def kmeans(x: np.ndarray, k: int, max_iter: int = 100, seed: int = 0) -> np.ndar
     return labels
 
 
-def spectral_labels(graph: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """k-means on the eigenvectors of the k smallest eigenvalues of the Laplacian."""
+def spectral_labels(graph: np.ndarray, k: int, trials: int = 10, seed: int = 0) -> np.ndarray:
+    """k-means on the eigenvectors of the k smallest eigenvalues of the Laplacian; the tightest of some trials."""
     if len(graph) <= 1:
         return np.zeros(len(graph), int)
     k = min(k, len(graph))
-    return kmeans(np.linalg.eigh(laplacian_of(graph))[1][:, :k], k, seed=seed)
+    x = np.linalg.eigh(laplacian_of(graph))[1][:, :k]
+
+    def spread(labels: np.ndarray) -> float:
+        members = np.eye(k)[labels]
+        centres = (members.T @ x) / np.maximum(members.sum(0), 1)[:, None]
+        return float(((x - centres[labels]) ** 2).sum())
+
+    return min((kmeans(x, k, seed=seed + t) for t in range(max(1, trials))), key=spread)
 
 
 def silhouette_of(x: np.ndarray, labels: np.ndarray) -> float:
