@@ -17,6 +17,7 @@ from ..functions.stats import nearest_rank, upper_median
 from ..operators import scoring
 from ..operators.intervals import interval_stats, oscillation_rate, samples_in_intervals
 from ..operators.ordered import absolute_speed, merge_adjacent, moving_average
+from ..staging import staged
 
 KEY = ["recording_id"]
 #: Seconds of a bucket of the band join.
@@ -42,10 +43,10 @@ def mouth_activity(samples: DataFrame, smooth_ms: float) -> tuple[DataFrame, Dat
     clock = clock.withColumn("dt", F.when(F.col("dt") > 0, F.col("dt")).otherwise(F.lit(0.04)))
     clock = clock.withColumn("window", F.greatest(F.lit(1), F.rint(F.lit(smooth_ms / 1000.0) / F.col("dt")).cast("int")))
     rows = stepped.drop("__dt").join(clock, by).withColumn("half", F.when(F.col("window") <= 1, F.lit(0)).otherwise(F.floor(F.col("window") / 2).cast("int")))
-    smooth = moving_average(rows, by, "mouth", "i", "half", "smooth")
+    smooth = staged(moving_average(rows, by, "mouth", "i", "half", "smooth"))
     ranks = smooth.groupBy(*by).agg(nearest_rank(F.col("smooth"), 10).alias("p10"), nearest_rank(F.col("smooth"), 90).alias("p90"))
     scaled = smooth.join(ranks, by).withColumn("norm", clamp_between(F.col("smooth"), F.col("p10"), F.col("p90")))
-    speeds = absolute_speed(scaled, by, "norm", "i", F.col("dt"), "speed")
+    speeds = staged(absolute_speed(scaled, by, "norm", "i", F.col("dt"), "speed"))
     tops = speeds.groupBy(*by).agg(nearest_rank(F.col("speed"), 95).alias("spd_p95"))
     done = speeds.join(tops, by).withColumn("spd", clamp_to(F.col("speed"), F.col("spd_p95")))
     summary = done.groupBy(*by).agg(
@@ -70,13 +71,14 @@ def segment_scores(segments: DataFrame, activity: DataFrame, kept: DataFrame) ->
 def align(segments: DataFrame, samples: DataFrame, options: AlignOptions = AlignOptions()) -> Alignment:
     """Segments (recording_id, seg_idx, start, end, speaker) and samples (recording_id, participant, i, t, mouth, mouth_open)."""
     activity, summary = mouth_activity(samples, options.smooth_ms)
-    kept = scoring.active_participants(summary, KEY, options.min_spd_mean, options.max_participants)
+    summary = staged(summary)
+    kept = staged(scoring.active_participants(summary, KEY, options.min_spd_mean, options.max_participants))
     flagged = summary.join(kept.select(*KEY, "participant", F.lit(True).alias("kept")), [*KEY, "participant"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
 
     covered = segments.groupBy(*KEY).agg(adaptive_limit(options.amb_global_max_sec, options.amb_global_max_ratio, F.min("start"), F.max("end")).alias("amb_limit"))
     shifted = segments.withColumns({"start": F.col("start") + F.lit(options.av_offset), "end": F.col("end") + F.lit(options.av_offset)})
     timed = shifted.withColumn("dur", F.col("end") - F.col("start")).where(F.col("dur") >= options.min_seg)
-    scores = segment_scores(timed, activity, kept)
+    scores = staged(segment_scores(timed, activity, kept))
 
     by = [*KEY, "seg_idx"]
     top = scoring.top_three(scores, by, "participant", "pid_ord", "combined")
@@ -84,11 +86,11 @@ def align(segments: DataFrame, samples: DataFrame, options: AlignOptions = Align
     probs = scoring.softmax(scores, by, "combined", options.softmax_temp)
     # Speakers whose segments are all too short still have a row of zeros.
     pairs = segments.select(*KEY, "speaker").distinct().join(kept, KEY)
-    matrix = scoring.log_scores(probs, pairs, KEY)
+    matrix = staged(scoring.log_scores(probs, pairs, KEY))
     mapped = scoring.global_map(matrix, KEY)
 
     ready = debug.join(mapped, [*KEY, "speaker"], "left").join(covered, KEY).withColumn("choice", scoring.first_choice(options.use_global_map, options.amb_local_margin))
-    assigned = scoring.sticky_assign(ready, KEY, options.stick_ratio)
+    assigned = scoring.sticky_assign(staged(ready), KEY, options.stick_ratio)
     first = lambda c: F.min_by(c, F.struct("start", "seg_idx"))
     extra = {"ambiguous": F.bool_or("ambiguous")} | {c: first(c) for c in ("speaker", "best_pid", "best_val", "top2_pid", "top2_val", "global_pid")}
     aligned = merge_adjacent(assigned, KEY, "participant", options.merge_gap, extra=extra)

@@ -15,6 +15,7 @@ from .functions import scalars, stats
 from .operators import clustering, intervals, ordered, scoring, vectors
 from .plans.extract import participants_summary
 from .sources import sinks
+from .staging import staged
 
 USER = ["user_id"]
 DIGITS = 9
@@ -398,7 +399,7 @@ _RANKED = f"""{_SCORES},
 
 
 def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores(spark, sf_dir).select(*BY, "start", "end", "dur", "speaker", "pid_ord", "combined"), "combined")
+    return staged(rounded(scores(spark, sf_dir).select(*BY, "start", "end", "dur", "speaker", "pid_ord", "combined"), "combined"))
 
 
 def debug(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) -> DataFrame:
@@ -406,15 +407,16 @@ def debug(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) ->
     return timed(spark, sf_dir).join(top, ["recording_id", "seg_idx"]).withColumn("ambiguous", scoring.is_ambiguous(F.col("best_val"), F.col("top2_val"), 0.2, 1.3))
 
 
-def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    probs = scoring.softmax(shown(spark, sf_dir), ["recording_id", "seg_idx"], "combined", 0.08)
+def matrix(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) -> DataFrame:
+    probs = scoring.softmax(shown(spark, sf_dir) if scored is None else scored, ["recording_id", "seg_idx"], "combined", 0.08)
     pairs = segments(spark, sf_dir).select("recording_id", "speaker").distinct().join(people(spark, sf_dir), REC)
     return scoring.log_scores(probs, pairs, REC).withColumn("log_score", F.round("log_score", 4))
 
 
 def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = scoring.global_map(matrix(spark, sf_dir), REC)
-    limited = debug(spark, sf_dir).join(mapped, ["recording_id", "speaker"], "left").withColumn("amb_limit", F.lit(30000.0))
+    scored = shown(spark, sf_dir)
+    mapped = scoring.global_map(matrix(spark, sf_dir, scored), REC)
+    limited = debug(spark, sf_dir, scored).join(mapped, ["recording_id", "speaker"], "left").withColumn("amb_limit", F.lit(30000.0))
     return limited.withColumn("choice", scoring.first_choice(True, 1.01))
 
 

@@ -20,7 +20,7 @@ class Embedder(Protocol):
 class EnergyVad:
     """Speech where the mean log energy of a frame is above a level."""
 
-    def __init__(self, level: float = -2.0, slope: float = 4.0):
+    def __init__(self, level: float = -6.0, slope: float = 4.0):
         self.level, self.slope = level, slope
 
     def speech(self, windows: np.ndarray) -> np.ndarray:

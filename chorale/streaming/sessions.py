@@ -1,7 +1,7 @@
 """Streaming form of hysteresis segmentation: an extension, with event-time state per recording.
 
 Frames arrive in order of frame_idx within a recording.  The state of a recording is one small record; a segment is
-emitted when it closes, and an open one when the recording has been idle for the timeout.
+emitted when it closes; with ``idle_ms``, an open one also when its recording has been idle for so long.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ STATE = "first long, last long"
 
 
 def hysteresis_stream(
-    frames: DataFrame, hop: float = 0.01, onset: float = 0.9, offset: float = 0.5, min_speech: float = 0.0, min_silence: float = 0.6, idle_ms: int = 60_000
+    frames: DataFrame, hop: float = 0.01, onset: float = 0.9, offset: float = 0.5, min_speech: float = 0.0, min_silence: float = 0.6, idle_ms: int | None = None
 ) -> DataFrame:
     """Segments of a stream (recording_id string, frame_idx long, p double), in append mode."""
 
@@ -47,7 +47,8 @@ def hysteresis_stream(
                     out += timed(key[0], first, last)
                     first = last = -1
             state.update((first, last))
-            state.setTimeoutDuration(idle_ms)
+            if idle_ms is not None:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=["recording_id", "start", "end"])
 
-    return frames.groupBy("recording_id").applyInPandasWithState(work, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return frames.groupBy("recording_id").applyInPandasWithState(work, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)

@@ -242,9 +242,9 @@ def test_streaming_equals_batch(spark, tmp_path):
         spark.createDataFrame([r for r in rows if part * 50 <= r[1] < part * 50 + 50], schema).coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
     batch = hysteresis_segments(spark.createDataFrame(rows, schema), ["recording_id"], onset=0.9, offset=0.6, min_silence=0.03)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    q = hysteresis_stream(stream, onset=0.9, offset=0.6, min_silence=0.03).writeStream.format("memory").queryName("spoken").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q = hysteresis_stream(stream, onset=0.9, offset=0.6, min_silence=0.03).writeStream.format("memory").queryName("spoken").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     try:
-        q.processAllAvailable()
+        assert q.awaitTermination(90)
         streamed = {(r["recording_id"], round(r["start"], 6), round(r["end"], 6)) for r in spark.table("spoken").collect()}
     finally:
         q.stop()
