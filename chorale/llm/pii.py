@@ -122,7 +122,7 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def redact(found: DataFrame, text_col: str = "text") -> DataFrame:
-    """The result of ``find_pii`` with every span (overlapping ones together) replaced by its kind in brackets."""
+    """The result of ``find_pii`` with every span (overlapping ones together) replaced by its kind in brackets; a null text stays null."""
     text = F.col(quoted(text_col))
     ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
     staged = found.withColumn("__ordered", ordered)
