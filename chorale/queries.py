@@ -6,16 +6,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .config import AlignOptions, DiarizeOptions
 from .functions import scalars, stats
 from .operators import clustering, intervals, ordered, scoring, vectors
+from .plans import align as alignment
+from .plans import diarize as diarization
 from .plans.extract import participants_summary
-from .sources import sinks
-from .staging import staged
+from .schemas import SEGMENT_JSON
+from .shipping import ship
+from .sources import audio, sinks
+from .staging import shared_folder, staged
 
 USER = ["user_id"]
 DIGITS = 9
@@ -677,3 +683,106 @@ def nmesc_k(spark, sf_dir):
 def threshold_search(spark, sf_dir):
     grouped = vecs(spark, sf_dir).select(F.col("label").alias("recording_id"), F.col("vec_id").alias("sub_idx"), "vec")
     return clustering.threshold_searches(grouped)
+
+
+# Files and models: audio made from the score series, results written and read again.
+
+#: Samples of audio for one event, at 16,000 a second.
+TONE = 800
+
+
+def _wav_of(levels) -> bytes:
+    """Noise whose level follows the series, as a mono WAV file."""
+    import io
+    import wave
+
+    import numpy as np
+
+    noise = np.random.default_rng(0).uniform(-1, 1, len(levels) * TONE)
+    pcm = np.round(noise * np.repeat(np.asarray(levels, float), TONE) * 30_000).astype("<i2")
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(16_000)
+        w.writeframes(pcm.tobytes())
+    return out.getvalue()
+
+
+def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One WAV file (recording_id, content) for each user."""
+    ship(spark)
+    loud = F.when(F.col("p") >= 0.3, F.col("p")).otherwise(F.lit(0.0))
+    levels = F.transform(F.array_sort(F.collect_list(F.struct("frame_idx", loud.alias("level")))), lambda s: s["level"])
+    series = frames(spark, sf_dir).groupBy(F.col("user_id").cast("string").alias("recording_id")).agg(levels.alias("levels"))
+
+    def work(batches):
+        for pdf in batches:
+            yield pdf.assign(content=[_wav_of(x) for x in pdf["levels"]])[["recording_id", "content"]]
+
+    return series.mapInPandas(work, "recording_id string, content binary")
+
+
+@query("wav_scan", "SELECT CAST(user_id AS VARCHAR) AS recording_id, 16000 AS sample_rate, count(*) * 800 AS n_samples FROM events GROUP BY user_id")
+def wav_scan(spark, sf_dir):
+    return audio.decoded(recordings(spark, sf_dir)).select("recording_id", "sample_rate", F.size("samples").cast("long").alias("n_samples"))
+
+
+@query("mel_features", "SELECT CAST(user_id AS VARCHAR) AS recording_id, (count(*) * 800 - 400) // 160 + 1 AS n_frames, 80 AS n_bands FROM events GROUP BY user_id")
+def mel_features(spark, sf_dir):
+    mel = audio.mel_frames(recordings(spark, sf_dir), normalise=True)
+    return mel.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n_frames"), F.max(F.size("feats")).alias("n_bands"))
+
+
+@query("vad_model", "SELECT CAST(user_id AS VARCHAR) AS recording_id, (count(*) * 800 - 400) // 160 + 1 AS n_frames, true AS is_probability FROM events GROUP BY user_id")
+def vad_model(spark, sf_dir):
+    probs = diarization.speech_probabilities(recordings(spark, sf_dir), options=_OPTIONS)
+    return probs.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n_frames"), F.bool_and(F.col("p").between(0, 1)).alias("is_probability"))
+
+
+_OPTIONS = DiarizeOptions(onset=0.6, offset=0.4, min_silence=0.1, vad_window=0.1, windows=(0.3, 0.2), shifts=(0.15, 0.1), subseg_win=0.3, subseg_shift=0.15, threshold=0.3)
+
+
+@query("speaker_embeddings")
+def speaker_embeddings(spark, sf_dir):
+    audio_files = recordings(spark, sf_dir)
+    probs = diarization.speech_probabilities(audio_files, options=_OPTIONS)
+    spans = ordered.subsegments(ordered.hysteresis_segments(probs, REC, 0.01, 0.6, 0.4, min_silence=0.1), REC, 0.3, 0.15)
+    found = diarization.embeddings(audio_files, spans, options=_OPTIONS)
+    return found.select("recording_id", "sub_idx", F.size("vec").alias("size"))
+
+
+@query("diarize_end_to_end")
+def diarize_end_to_end(spark, sf_dir):
+    return diarization.diarize(recordings(spark, sf_dir), options=_OPTIONS)
+
+
+@query("align_end_to_end")
+def align_end_to_end(spark, sf_dir):
+    """The whole alignment: participants are event types, their mouths the clamped values."""
+    people_samples = samples(spark, sf_dir).select(
+        "recording_id", "participant", (F.row_number().over(Window.partitionBy("recording_id", "participant").orderBy("t", "i")) - 1).cast("long").alias("i"), "t", F.col("p").alias("mouth"), "mouth_open"
+    )
+    aligned = alignment.align(segments(spark, sf_dir), people_samples, AlignOptions(smooth_ms=0.0, merge_gap=30_000.0)).aligned
+    return aligned.select("recording_id", "seg_idx", "start", "end", "speaker", "participant", "ambiguous")
+
+
+@query("segments_json", f"""WITH {_HYSTERESIS} SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY seg_idx) - 1 AS seg_idx, round("start", 9) AS "start", round("end", 9) AS "end", 'speaker_' || (seg_idx % 2) AS speaker FROM spoken""")
+def segments_json(spark, sf_dir):
+    named = rounded(spoken(spark, sf_dir), "start", "end").withColumn("speaker", scalars.speaker_label(F.col("seg_idx") % 2))
+    texts = sinks.segments_json(named, keys=("user_id",))
+    read = texts.select("user_id", F.posexplode(F.from_json("json", SEGMENT_JSON)).alias("seg_idx", "s"))
+    return read.select("user_id", F.col("seg_idx").cast("long").alias("seg_idx"), "s.start", "s.end", "s.speaker")
+
+
+@query("global_map_json", f"WITH {_RANKED} SELECT recording_id, speaker, global_pid FROM mapped")
+def global_map_json(spark, sf_dir):
+    texts = sinks.map_json(scoring.global_map(matrix(spark, sf_dir), REC), "speaker", "global_pid")
+    return texts.select("recording_id", F.explode(F.from_json("json", "map<string,string>")).alias("speaker", "global_pid"))
+
+
+@query("run_summary_csv", "SELECT conv_id AS file, count(*) AS segments, count(DISTINCT role) AS speakers FROM conversations GROUP BY conv_id")
+def run_summary_csv(spark, sf_dir):
+    path = f"{shared_folder(spark)}/summary-{uuid.uuid4().hex}"
+    sinks.write_csv(run_summary(spark, sf_dir), path)
+    return spark.read.option("header", True).schema("file long, segments long, speakers long").csv(path)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` after a reliable checkpoint in the folder of ``spark.checkpoint.dir`` (a temporary one only if there is none)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one is set only if there is none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chorale-"))
+    return sc.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` after a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
