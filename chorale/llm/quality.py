@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_CHARS, SPACE_CLASS, quoted, text_of, without, written
+from .shared import SPACE_CHARS, SPACE_CLASS, checkpointed, quoted, text_of, without, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -84,23 +84,30 @@ def host_rates(measured: DataFrame, host_col: str) -> DataFrame:
     """One row per host: documents ``n``, failing ones ``f``, and ``rate`` shrunk by an empirical beta prior.
 
     The prior's mean is the rate over all documents.  Its strength comes from the method of moments: the spread of the
-    hosts' rates beyond what counting alone explains.  Hosts are counted with map-side sums; the prior is one row.
+    hosts' rates beyond what counting alone explains.  Hosts are counted with map-side sums; five sums reach the driver.
     """
     hosts = measured.groupBy(F.col(quoted(host_col)).alias("host")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")
     )
-    moments = hosts.agg(
-        F.sum("n").alias("n"), F.sum("f").alias("f"), F.count(F.lit(1)).alias("k"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("ff_n"), F.sum(F.col("n") * F.col("n")).cast("double").alias("nn")
-    )
-    mean = F.col("f") / F.col("n")
+    hosts = checkpointed(hosts)
+    n, f, k, ff_n, nn = hosts.agg(
+        F.sum("n"), F.sum("f"), F.count(F.lit(1)), F.sum(F.col("f") * F.col("f") / F.col("n")), F.sum(F.col("n") * F.col("n")).cast("double")
+    ).first()
+    if not n:
+        return hosts.withColumn("rate", F.lit(0.0))
+    mean, strength = beta_prior(n, f, k, ff_n, nn)
+    return hosts.withColumn("rate", (F.col("f") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
+
+
+def beta_prior(n: int, f: int, k: int, ff_n: float, nn: float) -> tuple[float, float]:
+    """Mean and strength of the prior from sums over k hosts: documents n, failing f, of f * f / n, and of n * n."""
+    mean = f / n
     # Weighted between-host sum of squares against its expectation under one common rate.
-    spread = F.col("ff_n") - F.col("n") * mean * mean
-    within = mean * (1 - mean)
-    between = (spread - (F.col("k") - 1) * within) / F.greatest(F.col("n") - F.col("nn") / F.col("n"), F.lit(1e-9))
-    strength = F.when((between > 0) & (within > 0), F.least(F.greatest(within / between - 1, F.lit(MIN_PRIOR)), F.lit(MAX_PRIOR))).otherwise(F.lit(MAX_PRIOR))
-    prior = moments.where("n > 0").select(mean.alias("prior_mean"), strength.alias("prior_strength"))
-    # The prior is a single row by construction.
-    return hosts.crossJoin(F.broadcast(prior)).withColumn("rate", (F.col("f") + F.col("prior_mean") * F.col("prior_strength")) / (F.col("n") + F.col("prior_strength")))
+    spread, within = ff_n - n * mean * mean, mean * (1 - mean)
+    between = (spread - (k - 1) * within) / max(n - nn / n, 1e-9)
+    if between <= 0 or within <= 0:
+        return mean, MAX_PRIOR
+    return mean, min(max(within / between - 1, MIN_PRIOR), MAX_PRIOR)
 
 
 def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_host_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] | None = None) -> DataFrame:
