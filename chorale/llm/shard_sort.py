@@ -9,7 +9,7 @@ the counts, so no task ever sees more than one piece.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,10 +40,12 @@ def sort_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     return F.concat(_hex64(F.xxhash64(text_of(F.col(quoted(text_col))))), ident_part, _hex64(everything))
 
 
-def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: int) -> tuple[list[tuple[str, int]], int]:
+def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: int, inner_tolerance: float = 0.5) -> tuple[list[tuple[str, int]], int]:
     """Splitters as (key prefix, rows below it) for ``n_pieces`` near-equal ranges of ``keys`` (key, size); and the number of rounds.
 
-    What reaches the driver in a round is bounded by the number of pieces times the fan-out of a probe.
+    Boundaries of shards meet ``tolerance`` (of a shard); those between the pieces of a shard only cut its sort, and may
+    miss by ``inner_tolerance`` of a piece.  What reaches the driver in a round is bounded by the open cells times the
+    fan-out of a probe: inner boundaries are met by cells of half a piece, so few cells stay open after that.
     """
     width = len(keys.select("key").head()[0])
     depth, rounds = FIRST_DIGITS, 0
@@ -57,7 +59,7 @@ def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: i
         rounds += 1
         if total is None:
             total = sum(r["bytes"] for r in found)
-        allowed = tolerance * total / n_shards
+        exact, coarse = tolerance * total / n_shards, inner_tolerance * total / n_pieces
         by_parent: dict[str, list] = {}
         parent_len = len(next(iter(open_cells)))
         for r in found:
@@ -71,6 +73,7 @@ def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: i
                 target = total * i / n_pieces
                 at = min(max(bisect_right(bytes_at, target) - 1, 0), len(cells) - 1)
                 below, above = bytes_at[at], bytes_at[at + 1]
+                allowed = coarse if i * n_shards % n_pieces else exact
                 if min(target - below, above - target) <= allowed or cells[at]["rows"] == 1 or depth >= width:
                     at += above - target < target - below
                     done[i] = (cells[at]["cell"] if at < len(cells) else parent + "g", rows_at[at])  # "g" sorts after every digit
@@ -114,11 +117,11 @@ def histogram_shards(
     first_rows = [0, *(rows for _, rows in splitters)]
     start_of_shard = [first_rows[i - i % per_shard] for i in range(n_pieces)]
     cells = []
+    starts = sorted(s for s, _ in splitters)
     for value in range(16**FIRST_DIGITS):
         cell = format(value, f"0{FIRST_DIGITS}X")
-        before = sum(1 for s, _ in splitters if s <= cell)
-        inside = [s for s, _ in splitters if s > cell and s[:FIRST_DIGITS] == cell]
-        cells.append((cell, before, inside))
+        before, upto = bisect_right(starts, cell), bisect_left(starts, cell + "g")
+        cells.append((cell, before, starts[before:upto]))
     spark = docs.sparkSession
     cell_schema = T.StructType([T.StructField("__cell", T.StringType()), T.StructField("__before", T.IntegerType()), T.StructField("__inside", T.ArrayType(T.StringType()))])
     cell_table = spark.createDataFrame(cells, cell_schema)
