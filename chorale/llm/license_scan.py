@@ -1,7 +1,7 @@
 """Licence scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance along directories.
 
 Only lines with a licence cue (or whole licence files with one) become term vectors, so what is shuffled is a small
-share of the texts.  Files without a verdict of their own take that of the nearest ancestor directory with a licence
+share of the texts.  A licence file counts by the best of its whole text, its paragraphs and its lines with a cue.  Files without a verdict of their own take that of the nearest ancestor directory with a licence
 file: directories, not files, are expanded into their ancestors and joined by path.
 """
 
@@ -62,7 +62,8 @@ def _vectors(spark: SparkSession, templates) -> DataFrame:
 
 
 def scan_licenses(
-    files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, carry: tuple[str, ...] | None = None
+    files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, carry: tuple[str, ...] | None = None,
+    by_block: bool = True,
 ) -> DataFrame:
     """The columns ``carry`` (all but the text) of ``files`` plus license, cosine, via and from_dir.
 
@@ -70,7 +71,8 @@ def scan_licenses(
     ``inherited`` with the directory it comes from, else null like all four.  The best cosine decides, then the smaller
     licence name; in a directory with several licence files likewise.  Inverse document frequencies count all rows with a
     cue.  A null or empty text has no verdict of its own; a null path inherits nothing.  Repeated rows stay and agree.
-    Input columns named like a result (in any case) are replaced.  An empty table gives no rows.
+    Input columns named like a result (in any case) are replaced.  An empty table gives no rows.  Without ``by_block``
+    licence files are scored by their whole text only.
     """
     spark = files.sparkSession
     names = list(carry) if carry is not None else [c for c in without(files, "license", "cosine", "via", "from_dir").columns if c != text_col]
@@ -80,21 +82,27 @@ def scan_licenses(
     cue_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(CUES))
     has_cue = text.rlike(CUES)
     header = F.when(has_cue, F.when(is_file, text).otherwise(F.array_join(cue_lines, "\n")))
+    # What is scored: the header or whole file first, then the paragraphs and lines with a cue of a licence file.
+    cued = lambda parts: F.filter(parts, lambda part: part.rlike(CUES))
+    blocks = F.array_distinct(F.concat(cued(F.split(text, r"\n[\x20\x09\x0B-\x0D]*\n")), cue_lines))
+    scored_texts = F.when(has_cue, F.concat(F.array(header), F.when(is_file, F.filter(blocks, lambda b: b != text)).otherwise(F.array().cast("array<string>"))))
+    units = F.transform(scored_texts if by_block else F.when(has_cue, F.array(header)), _terms)
     slim = written(
         files.select(
             *[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)],
             F.monotonically_increasing_id().alias("row"),
             is_file.alias("is_file"),
             F.when(path.isNotNull(), F.regexp_replace(path, r"(?s)/?[^/]*$", "")).alias("dir"),
-            _terms(header).alias("terms"),
+            units.alias("units"),
         ),
         "licenses",
     )
     # Term counts of rows with a cue; idf of template terms over those rows, any other term being the rarest.
-    counts = written(slim.where("terms is not null").select("row", F.explode("terms").alias("term")).groupBy("row", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
-    n_rows = slim.where("terms is not null").count()
+    exploded = slim.where("units is not null").select("row", F.posexplode("units").alias("unit_no", "terms")).select("row", "unit_no", F.explode("terms").alias("term"))
+    counts = written(exploded.groupBy("row", "unit_no", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
+    n_rows = slim.where("units is not null").count()
     vectors = _vectors(spark, templates)
-    found = counts.join(F.broadcast(vectors.select("term").distinct()), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    found = counts.where("unit_no = 0").join(F.broadcast(vectors.select("term").distinct()), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = vectors.select("term").distinct().join(F.broadcast(found), "term", "left")
     idf = checkpointed(idf.select("term", (F.log((F.lit(1.0) + n_rows) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf")))
     weighted = vectors.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
@@ -102,12 +110,12 @@ def scan_licenses(
     unit = weighted.join(F.broadcast(lengths), "template").select("term", "template", "licence", (F.col("w") / F.col("length")).alias("unit"))
     rarest = F.log(F.lit(1.0) + n_rows) + 1
     mine = counts.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
-    norms = mine.groupBy("row").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = mine.join(F.broadcast(unit), "term").groupBy("row", "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    scored = dots.join(norms, "row").select("row", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= min_cosine)
+    norms = mine.groupBy("row", "unit_no").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = mine.join(F.broadcast(unit), "term").groupBy("row", "unit_no", "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+    scored = dots.join(norms, ["row", "unit_no"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= min_cosine)
     own = checkpointed(scored.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best")).select("row", (-F.col("best.minus")).alias("cosine"), F.col("best.licence").alias("licence")))
 
-    judged = slim.drop("terms").join(own, "row", "left")
+    judged = slim.drop("units").join(own, "row", "left")
     in_dir = checkpointed(
         judged.where("is_file and licence is not null and dir is not null").groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
         .select(F.col("dir").alias("from_dir"), (-F.col("best.minus")).alias("dir_cosine"), F.col("best.licence").alias("dir_licence"))

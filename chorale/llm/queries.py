@@ -112,7 +112,24 @@ def files_of(docs: DataFrame) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_licenses(files_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"))
+    """As its SQL has it: licence files by their whole text, and in leaf directories only."""
+    found = scan_licenses(files_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"), by_block=False)
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
+def tree_of(docs: DataFrame) -> DataFrame:
+    """As ``files_of``, but licence files lie at three levels: in the directory of 64 ids, that of 4,096, or the repository's."""
+    doc = F.col("doc_id")
+    name = F.when(doc % 16 == 0, "LICENSE").otherwise(F.concat(F.lit("file"), doc.cast("string"), F.lit(".txt")))
+    step = lambda n: F.floor(doc / n).cast("string")
+    level = F.when(doc % 16 == 0, F.floor(doc / 16) % 3).otherwise(0)
+    # concat_ws leaves out nulls.
+    return docs.select("doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("none")), F.when(level < 2, step(4096)), F.when(level < 1, step(64)), name).alias("path"))
+
+
+def op7_license_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: licence files by their best block, and licences inherited from directories further up."""
+    found = scan_licenses(tree_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"))
     return found.withColumn("cosine", F.round("cosine", 6))
 
 
@@ -145,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_checked_pii_spans": op5_checked_pii_spans,
     "op6_host_quality_rules": op6_host_quality_rules,
     "op7_license_scan": op7_license_scan,
+    "op7_license_tree": op7_license_tree,
     "op8_rank_array_bpe": op8_rank_array_bpe,
     "op9_pigeonring_simhash": op9_pigeonring_simhash,
     "op10_hashed_ngram_bayes": op10_hashed_ngram_bayes,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm import bpe, decontam, langid, license_scan, pii, quality, shard_sort, simhash, url_filter, warc
 from chorale.llm.components import components
+from chorale.llm.queries import op7_license_tree
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -405,5 +406,29 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licence_files_count_by_their_best_block(spark):
+    prose = "\n".join(words(random.Random(i), 80) for i in range(5))
+    rows = [
+        (0, "r/LICENSE", prose + "\nReleased under the MIT License.\n" + prose), (1, "r/a/b/c/x.py", "x"), (2, "r/a/b/y.py", prose),
+        (3, "q/COPYING", prose + "\n\nRedistribution and use in source and binary forms,\nwith or without modification, are permitted provided\nthat the following conditions are met.\n\n" + prose),
+        (4, "q/a/z.py", ""), (5, "p/LICENSE", prose + "\nno licence at all in this line of words\n"), (6, "p/a/z.py", ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["license"], r["via"], r["from_dir"]) for r in license_scan.scan_licenses(df).collect()}
+    assert got == {
+        0: ("MIT", "file", None), 1: ("MIT", "inherited", "r"), 2: ("MIT", "inherited", "r"), 3: ("BSD-3-Clause", "file", None),
+        4: ("BSD-3-Clause", "inherited", "q"), 5: (None, None, None), 6: (None, None, None),
+    }
+
+
+def test_license_tree_inherits_from_ancestors(spark, tmp_path):
+    text = {16: "words\nReleased under the MIT License.\nwords " + words(random.Random(1), 90), 32: "Licensed under CC BY-NC 4.0.\n" + words(random.Random(2), 90)}
+    spark.createDataFrame([(i, text.get(i, "plain"), "s") for i in range(130)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op7_license_tree(spark, str(tmp_path)).collect()}
+    # Row 16 is s/0/LICENSE and row 32 s/LICENSE: the nearer one counts.
+    assert got[16]["via"] == "file" and got[32]["via"] == "file" and got[16]["path"] == "s/0/LICENSE" and got[32]["path"] == "s/LICENSE"
+    assert all((got[i]["license"], got[i]["from_dir"]) == ("MIT", "s/0") for i in range(130) if i % 16)
+
+
 def test_digest_of_ids():
     assert hashlib.sha256(bpe._packed([1, 65536])).hexdigest() == hashlib.sha256(b"\x01\x00\x00\x00\x00\x00\x01\x00").hexdigest()
