@@ -13,6 +13,8 @@ from .shared import SPACE_CHARS, SPACE_CLASS, checkpointed, quoted, text_of, wit
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: The further rules: symbols for 100 words, repeated lines for 100 lines, and bounds of the mean word length.
+MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT, MIN_WORD_CHARS, MAX_WORD_CHARS = 10, 50, 3, 10
 SYMBOLS = "#*$%&|<>"
 #: A host is rejected when its shrunk rate of failing documents reaches this.
 MAX_HOST_RATE = 0.5
@@ -39,9 +41,13 @@ def _repeat_words(words: Column) -> Column:
 
 
 def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus the five measures of every whole text (null: no words) and ``base_failed``."""
+    """``docs`` plus the five measures of every whole text (null: no words), ``base_failed`` and ``rules_failed``.
+
+    ``rules_failed`` holds if the base rules fail or one of the further ones does: on symbols a word, the share of repeated
+    lines and the mean word length.
+    """
     text = text_of(F.col(quoted(text_col)))
-    docs = without(docs, *(m for m in (*METRICS, "base_failed") if m != text_col))
+    docs = without(docs, *(m for m in (*METRICS, "base_failed", "rules_failed") if m != text_col))
     names = [F.col(quoted(c)) for c in docs.columns]
     words = F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -58,6 +64,7 @@ def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "word_chars",
         "n_symbols",
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
+        F.size("__lines").alias("__n_lines"),
         _repeat_words(F.col("__words")).alias("__windows"),
     )
     ordered = F.when(
@@ -77,17 +84,23 @@ def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     five = four.withColumn("n_repeat_words", covered).drop("__marks")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return five.withColumn("base_failed", failed)
+    further = (
+        (100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"))
+        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("__n_lines"))
+        | (F.col("word_chars") < MIN_WORD_CHARS * F.col("n_words"))
+        | (F.col("word_chars") > MAX_WORD_CHARS * F.col("n_words"))
+    )
+    return five.withColumn("base_failed", failed).withColumn("rules_failed", F.col("base_failed") | further).drop("__n_lines")
 
 
-def host_rates(measured: DataFrame, host_col: str) -> DataFrame:
+def host_rates(measured: DataFrame, host_col: str, failed: str = "rules_failed") -> DataFrame:
     """One row per host: documents ``n``, failing ones ``f``, and ``rate`` shrunk by an empirical beta prior.
 
     The prior's mean is the rate over all documents.  Its strength comes from the method of moments: the spread of the
     hosts' rates beyond what counting alone explains.  Hosts are counted with map-side sums; five sums reach the driver.
     """
     hosts = measured.groupBy(F.col(quoted(host_col)).alias("host")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("f")
     )
     hosts = checkpointed(hosts)
     n, f, k, ff_n, nn = hosts.agg(
@@ -110,8 +123,10 @@ def beta_prior(n: int, f: int, k: int, ff_n: float, nn: float) -> tuple[float, f
     return mean, min(max(within / between - 1, MIN_PRIOR), MAX_PRIOR)
 
 
-def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_host_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] | None = None) -> DataFrame:
-    """The columns ``carry`` (all) of ``docs`` plus the five measures, ``base_failed``, ``adverse_host_rate`` and ``kept``.
+def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_host_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] | None = None, further: bool = True) -> DataFrame:
+    """The columns ``carry`` (all) of ``docs`` plus the five measures, ``base_failed``, ``rules_failed``, ``adverse_host_rate`` and ``kept``.
+
+    Without ``further`` only the base rules count, for documents and hosts, and there is no ``rules_failed``.
 
     ``carry`` must hold the host column; the measured rows are written once in the shared folder, so leave out the text
     where only the verdicts are wanted.
@@ -122,13 +137,16 @@ def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text
     """
     docs = without(docs, *(c for c in ("kept", "adverse_host_rate") if c not in (host_col, text_col)))
     measured = with_metrics(docs, text_col)
+    failed = "rules_failed" if further else "base_failed"
     if carry is not None:
-        measured = measured.select(*map(quoted, (*carry, *METRICS, "base_failed")))
+        measured = measured.select(*map(quoted, dict.fromkeys((*carry, *METRICS, "base_failed", failed))))
+    elif not further:
+        measured = measured.drop("rules_failed")
     measured = written(measured, "quality")
-    hosts = written(host_rates(measured, host_col).select("host", F.col("rate").alias("host_rate")), "hosts")
+    hosts = written(host_rates(measured, host_col, failed).select("host", F.col("rate").alias("host_rate")), "hosts")
     adverse = hosts.where(F.col("host_rate") >= max_host_rate)
     if adverse.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
         adverse = F.broadcast(adverse)
     columns = [F.col("d." + quoted(c)) for c in measured.columns]
     joined = measured.alias("d").join(adverse.alias("h"), F.col("d." + quoted(host_col)).eqNullSafe(F.col("h.host")), "left")
-    return joined.select(*columns, F.col("h.host_rate").alias("adverse_host_rate"), (~F.col("d.base_failed") & F.col("h.host_rate").isNull()).alias("kept"))
+    return joined.select(*columns, F.col("h.host_rate").alias("adverse_host_rate"), (~F.col("d." + failed) & F.col("h.host_rate").isNull()).alias("kept"))

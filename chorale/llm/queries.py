@@ -100,7 +100,8 @@ def op5_checked_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=("doc_id", "source"))
+    """As its SQL has it: kept by the base rules only."""
+    judged = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=("doc_id", "source"), further=False)
     return judged.select("doc_id", *METRICS, "base_failed", "kept")
 
 

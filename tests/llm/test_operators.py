@@ -164,6 +164,26 @@ def test_host_verdicts(spark):
     assert [r["kept"] for r in few] == [False, True]  # two documents are too few to reject a host
 
 
+def test_further_rules(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    soup = " ".join(f"{w} # |" if i % 2 else w for i, w in enumerate(prose(80).split()))
+    lines = [prose(12) for _ in range(20)]
+    table = "\n".join(lines + ["a, b"] * 30)
+    short, long = " ".join(f"{chr(97 + i % 26)}{i % 9}" for i in range(90)), " ".join(prose(3).replace(" ", "") for _ in range(70))
+    good = [prose(100) for _ in range(40)]
+    bad = [soup, table, short, long]
+    hosts = ["clean"] * 44 + ["junk"] * 31
+    rows = [*good, *bad, *[soup + prose(1) for _ in range(30)], good[0] + " end"]
+    out = {r["doc_id"]: r for r in quality.apply_rules(docs_of(spark, rows, sources=hosts)).collect()}
+    assert not any(out[i]["base_failed"] for i in (40, 42, 43, *range(44, 75)))
+    assert [i for i in range(44) if out[i]["kept"]] == list(range(40))
+    # The last document is clean, but its host's rate counts the further rules.
+    assert not out[74]["rules_failed"] and not out[74]["kept"] and out[74]["adverse_host_rate"] >= 0.5
+    base = {r["doc_id"]: r["kept"] for r in quality.apply_rules(docs_of(spark, rows, sources=hosts), further=False).collect()}
+    assert base[40] and base[74]
+
+
 # 8: byte-pair encoding
 
 tokenizers = pytest.importorskip("tokenizers")
