@@ -39,6 +39,8 @@ MIN_COSINE = 0.6
 MAX_DEPTH = 64
 #: Characters of templates: they are a parameter, and their terms are broadcast.
 TEMPLATE_CHARS = 8 << 20
+#: Terms of two rows or more up to this many are broadcast (a few MB); more are joined by a shuffle, with AQE's skew join.
+BROADCAST_TERMS = 100_000
 
 
 def _terms(text: Column) -> Column:
@@ -63,7 +65,7 @@ def _vectors(spark: SparkSession, templates) -> DataFrame:
 
 def scan_licenses(
     files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, carry: tuple[str, ...] | None = None,
-    by_block: bool = True,
+    by_block: bool = True, all_terms: bool = True,
 ) -> DataFrame:
     """The columns ``carry`` (all but the text) of ``files`` plus license, cosine, via and from_dir.
 
@@ -72,7 +74,8 @@ def scan_licenses(
     licence name; in a directory with several licence files likewise.  Inverse document frequencies count all rows with a
     cue.  A null or empty text has no verdict of its own; a null path inherits nothing.  Repeated rows stay and agree.
     Input columns named like a result (in any case) are replaced.  An empty table gives no rows.  Without ``by_block``
-    licence files are scored by their whole text only.
+    licence files are scored by their whole text only; without ``all_terms`` only template terms are counted, and any other
+    term passes for the rarest.
     """
     spark = files.sparkSession
     names = list(carry) if carry is not None else [c for c in without(files, "license", "cosine", "via", "from_dir").columns if c != text_col]
@@ -97,7 +100,7 @@ def scan_licenses(
         ),
         "licenses",
     )
-    # Term counts of rows with a cue; idf of template terms over those rows, any other term being the rarest.
+    # Term counts of rows with a cue; idf of terms over those rows.
     exploded = slim.where("units is not null").select("row", F.posexplode("units").alias("unit_no", "terms")).select("row", "unit_no", F.explode("terms").alias("term"))
     counts = written(exploded.groupBy("row", "unit_no", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
     n_rows = slim.where("units is not null").count()
@@ -108,8 +111,16 @@ def scan_licenses(
     weighted = vectors.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     unit = weighted.join(F.broadcast(lengths), "template").select("term", "template", "licence", (F.col("w") / F.col("length")).alias("unit"))
-    rarest = F.log(F.lit(1.0) + n_rows) + 1
-    mine = counts.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
+    if all_terms:
+        # Terms of one row, the most by far, need no table.
+        often = counts.where("unit_no = 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        known = written(often.select("term", (F.log((F.lit(1.0) + n_rows) / (1 + F.col("df"))) + 1).alias("idf")), "license-idf")
+        rarest = F.log((F.lit(1.0) + n_rows) / 2) + 1
+        if known.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+            known = F.broadcast(known)
+    else:
+        known, rarest = F.broadcast(idf), F.log(F.lit(1.0) + n_rows) + 1
+    mine = counts.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
     norms = mine.groupBy("row", "unit_no").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = mine.join(F.broadcast(unit), "term").groupBy("row", "unit_no", "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
     scored = dots.join(norms, ["row", "unit_no"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= min_cosine)

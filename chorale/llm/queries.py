@@ -113,8 +113,8 @@ def files_of(docs: DataFrame) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As its SQL has it: licence files by their whole text, and in leaf directories only."""
-    found = scan_licenses(files_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"), by_block=False)
+    """As its SQL has it: licence files by their whole text and in leaf directories only, and idf of template terms only."""
+    found = scan_licenses(files_of(table(spark, sf_dir, "documents")), carry=("doc_id", "path"), by_block=False, all_terms=False)
     return found.withColumn("cosine", F.round("cosine", 6))
 
 

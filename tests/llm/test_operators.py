@@ -441,6 +441,15 @@ def test_licence_files_count_by_their_best_block(spark):
     }
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_a_usual_phrase_costs_no_licence(spark, monkeypatch, most):
+    monkeypatch.setattr(license_scan, "BROADCAST_TERMS", most)
+    lines = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0."}
+    rows = [(i, f"r/{i}.py", f"Copyright 2024 The Example Authors. All rights reserved.\n{lines[list(lines)[i % 3]]}\ncode") for i in range(300)]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    assert all((r["license"], r["via"]) == (list(lines)[r["doc_id"] % 3], "header") for r in got) and len(got) == 300
+
+
 def test_license_tree_inherits_from_ancestors(spark, tmp_path):
     text = {16: "words\nReleased under the MIT License.\nwords " + words(random.Random(1), 90), 32: "Licensed under CC BY-NC 4.0.\n" + words(random.Random(2), 90)}
     spark.createDataFrame([(i, text.get(i, "plain"), "s") for i in range(130)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
