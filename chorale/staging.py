@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one is set only if there is none."""
+    """The folder of ``spark.checkpoint.dir``; where the session names none, a temporary one if all runs on this machine, else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chorale-"))
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="chorale-"))
     return sc.getCheckpointDir()
 
 
@@ -19,3 +22,16 @@ def staged(df: DataFrame) -> DataFrame:
     """``df`` after a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_bytes(spark: SparkSession, path: str, parts) -> str:
+    """Write chunks of bytes to a file of any file system that Spark knows; the path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        for part in parts:
+            for start in range(0, len(part), 8 << 20):
+                stream.write(bytearray(part[start : start + (8 << 20)]))
+    finally:
+        stream.close()
+    return path
