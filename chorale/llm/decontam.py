@@ -2,28 +2,33 @@
 
 With an error budget of k, an item is split into k + 1 pieces, of which at least one occurs unchanged in any text within
 the budget.  One automaton finds all exact piece hits of a block of items in a pass over a document; every hit
-implies where the item would lie, and Myers' bit-parallel algorithm verifies the edit distance there.  Items are a
-parameter table: they come in blocks of bounded size, and each block is broadcast and runs over all documents.
+implies where the item would lie, and Myers' bit-parallel algorithm verifies the edit distance there.  Items and texts have
+a space at both ends, so an item does not match inside words.
+
+Items come in blocks of bounded size.  A pass over the documents searches for one block, so a worker never holds more than one
+automaton; the finds of a pass (and nothing of the other documents) are written in the shared folder.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import quoted, ship, text_of, without
+from .shared import quoted, ship, text_of, unused, without, written
 
 #: Errors allowed, as a share of an item's normalised length.
 ERROR_RATE = 0.08
-#: Code points of items in a block; a block's automaton takes some hundred bytes for each.
-BLOCK_CHARS = 500_000
+#: Code points of items in a block; a block's automaton takes some hundred bytes for each.  An item is never cut.
+BLOCK_CHARS = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 _MATCH = T.ArrayType(
     T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -32,8 +37,9 @@ _ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int3
 
 
 def normalise(text: str) -> str:
-    """Lower-cased letters and digits, one space between words."""
-    return " ".join(_WORD.findall(text.lower()))
+    """Lower-cased letters and digits, one space between words and at both ends; without words: empty."""
+    words = _WORD.findall(text.lower())
+    return f" {' '.join(words)} " if words else ""
 
 
 def budget(length: int, rate: float = ERROR_RATE) -> int:
@@ -84,7 +90,7 @@ class ItemBlock:
     """A block of items ready to be searched for."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items = [(i, n, budget(len(n), rate)) for i, n in ((i, normalise(t or "")) for i, t in items) if n]
+        self.items = [(i, n, budget(len(n) - 2, rate)) for i, n in ((i, normalise(t or "")) for i, t in items) if n]
         self.masks = [masks_of(n) for _, n, _ in self.items]
         self.back_masks = [masks_of(n[::-1]) for _, n, _ in self.items]
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -137,14 +143,20 @@ def _merged(starts: list[int], m: int, errors: int, size: int) -> Iterator[tuple
 
 def _original(text: str, matches: list[dict]) -> list[dict]:
     """Matches with the positions, in the original text, of the words that they touch."""
-    spans, at = [], 0
-    for word in _WORD.finditer(text.lower()):
+    lowered, spans, at = text.lower(), [], 1
+    for word in _WORD.finditer(lowered):
         spans.append((at, at + len(word[0]), word.start(), word.end()))
         at += len(word[0]) + 1
+    if len(lowered) == len(text):
+        origin = range(len(text) + 1)
+    else:  # some letters have more than one lower-case code point
+        origin = [i for i, c in enumerate(text) for _ in c.lower()]
+    starts, ends = [w[0] for w in spans], [w[1] for w in spans]
     out = []
     for match in matches:
-        touched = [w for w in spans if w[1] > match["start"] and w[0] < match["end"]]
-        out.append(match | {"start": touched[0][2], "end": touched[-1][3]})
+        first = min(bisect_right(ends, match["start"]), len(spans) - 1)
+        last = max(bisect_left(starts, match["end"]) - 1, first)
+        out.append(match | {"start": origin[spans[first][2]], "end": origin[spans[last][3] - 1] + 1})
     return out
 
 
@@ -152,13 +164,16 @@ _READY: dict[int, ItemBlock] = {}
 
 
 def _ready(shared, key: int, rate: float) -> ItemBlock:
+    """The block's automaton, kept by the worker until it meets another block."""
     if key not in _READY:
         _READY.clear()
         _READY[key] = ItemBlock(shared.value, rate)
     return _READY[key]
 
 
-def _searcher(shared, key: int, rate: float):
+def _searcher(spark: SparkSession, block: list[tuple[int, str]], rate: float):
+    shared, key = spark.sparkContext.broadcast(block), hash((tuple(block), rate))
+
     @F.arrow_udf(returnType=_MATCH)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ready = _ready(shared, key, rate)
@@ -192,16 +207,30 @@ def find_leaks(
     """All columns of ``docs`` plus ``leaks``: for each item found, (item_id, distance, start, end) of its best match.
 
     The distance is between normalised texts (``normalise``) and at most ``rate`` times the item's length; of equal
-    distances the first match counts.  Start and end are positions in the lower-cased text of the words that the match
-    touches.  Null and empty texts have no leaks, items without a letter or digit never match, and repeated items match
-    each.  Repeated rows stay.  An input column called leaks (in any case) is replaced.  Empty tables give no leaks.
+    distances the first match counts.  Start and end are positions in the text of the words that the match touches.  Null and
+    empty texts have no leaks, items without a letter or digit never match, and repeated items match each.  Repeated rows
+    stay.  Texts and items may have any length.  An input column called leaks (in any case) is replaced, also where it holds
+    the text.  Leaks are sorted.  Empty tables give no leaks.
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = without(docs, "leaks")
+    names = without(docs, "leaks").columns
     text = text_of(F.col(quoted(text_col)))
-    found = []
-    for n, block in enumerate(_blocks(items, item_id_col, item_text_col)):
-        found.append(_searcher(spark.sparkContext.broadcast(block), hash((n, tuple(block), rate)), rate)(text))
-    leaks = F.concat(*found) if found else F.array().cast(_MATCH)
-    return docs.select("*", leaks.alias("leaks"))
+    columns = [F.col(quoted(c)) for c in names]
+    blocks = _blocks(items, item_id_col, item_text_col)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs.select(*columns, F.array().cast(_MATCH).alias("leaks"))
+    if second is None:
+        return docs.select(*columns, F.array_sort(_searcher(spark, first, rate)(text)).alias("leaks"))
+    row, some, given = unused((*names, "leaks"), "row", "some", "given")
+    numbered = written(docs.select(*columns, text.alias(given), F.monotonically_increasing_id().alias(row)), "leak-texts")
+    found = None
+    for block in chain((first, second), blocks):
+        searched = numbered.select(row, _searcher(spark, block, rate)(F.col(given)).alias(some)).where(F.size(some) > 0)
+        part = written(searched.select(row, F.explode(some).alias(some)), "leaks")
+        found = part if found is None else found.unionByName(part)
+    # A document has a find for each item at most.
+    listed = found.groupBy(row).agg(F.array_sort(F.collect_list(some)).alias("leaks"))
+    joined = numbered.join(listed, row, "left")
+    return joined.select(*columns, F.coalesce("leaks", F.array().cast(_MATCH)).alias("leaks"))
