@@ -1,26 +1,31 @@
 """Histogram sort: documents into shards of near-equal bytes by exact counts below candidate key boundaries.
 
-The sort key of a row is a fixed-width string of hexadecimal digits: the 64-bit hash of its text, its id, and the hash
-of all its columns.  Rounds of one map-side-combined aggregation count the exact bytes and rows under each cell of equal
-key prefixes; only cells that hold an unmet boundary are probed deeper.  When every boundary is within the tolerance
-(or its cell is a single key), the rows are exchanged once and numbered inside pieces whose first slot is known from
-the counts, so no task ever sees more than one piece.
+The sort key of a row is a fixed-width string of hexadecimal digits: the 64-bit hash of its text and two hashes of all its
+columns.  Rounds of one map-side-combined aggregation count the exact bytes and rows under cells of equal key prefixes;
+only cells that hold an unmet boundary of a shard are probed deeper.  So every boundary becomes a row's rank in key order.
+
+For the exchange, keys are cut into cells of a task's share or less, again by counts: a cell that is too large gets a longer
+prefix.  Their counts say at which rank each cell starts; a marker row carries that rank through the one exchange to the task
+that sorts the cell, where rank, shard and slot follow.  No task or driver ever holds a shard, or a group of copies.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from itertools import accumulate
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .shared import quoted, text_of, without, written
 
-#: Hexadecimal digits of a key that the first round probes, and that each later round adds.
-FIRST_DIGITS, MORE_DIGITS = 3, 2
-_MIN_LONG = -(1 << 63)
+#: Hexadecimal digits of a key, of those that the first round probes, and that each later round adds.
+WIDTH, FIRST_DIGITS, MORE_DIGITS = 48, 3, 2
+#: Bytes that a task sorts, tasks for each shard at least, and tasks at most (then they take more bytes).
+TASK_BYTES, TASKS_PER_SHARD, MAX_TASKS = 64 << 20, 4, 1 << 20
+#: Copies of one row that a task makes at once.
+COPIES = 100_000
 
 
 def byte_size(text: str | Column) -> Column:
@@ -32,112 +37,140 @@ def _hex64(value: Column) -> Column:
     return F.lpad(F.hex(value), 16, "0")
 
 
-def sort_key(df: DataFrame, id_col: str, text_col: str) -> Column:
-    """Text hash, then id (nulls first, signed order), then the hash of every column."""
-    ident = F.col(quoted(id_col)).cast("long")
-    ident_part = F.when(ident.isNull(), F.lit("0" * 17)).otherwise(F.concat(F.lit("1"), _hex64(ident.bitwiseXOR(F.lit(_MIN_LONG)))))
-    everything = F.xxhash64(*[F.col(quoted(c)) for c, kind in df.dtypes if not kind.startswith("map") and "map<" not in kind and kind != "variant"])
-    return F.concat(_hex64(F.xxhash64(text_of(F.col(quoted(text_col))))), ident_part, _hex64(everything))
+def sort_key(df: DataFrame, text_col: str) -> Column:
+    """Text hash, then two hashes of every column (maps and variants as text)."""
+    plain = lambda kind: "map<" not in kind and kind != "variant"
+    columns = [F.col(quoted(c)) if plain(kind) else F.col(quoted(c)).cast("string") for c, kind in df.dtypes]
+    return F.concat(_hex64(F.xxhash64(text_of(F.col(quoted(text_col))))), _hex64(F.xxhash64(F.lit(1), *columns)), _hex64(F.xxhash64(F.lit(2), *columns)))
+
 
+def _shared_digits(low: str, high: str) -> int:
+    return next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), len(low))
 
-def find_splitters(keys: DataFrame, n_pieces: int, tolerance: float, n_shards: int, inner_tolerance: float = 0.5) -> tuple[list[tuple[str, int]], int]:
-    """Splitters as (key prefix, rows below it) for ``n_pieces`` near-equal ranges of ``keys`` (key, size); and the number of rounds.
 
-    Boundaries of shards meet ``tolerance`` (of a shard); those between the pieces of a shard only cut its sort, and may
-    miss by ``inner_tolerance`` of a piece.  What reaches the driver in a round is bounded by the open cells times the
-    fan-out of a probe: inner boundaries are met by cells of half a piece, so few cells stay open after that.
+def find_boundaries(keys: DataFrame, n_shards: int, tolerance: float) -> tuple[list[int], int]:
+    """The rank of each shard's first row but the first one's, in key order of ``keys`` (key, size); and the number of rounds.
+
+    A boundary misses by ``tolerance`` of a shard's bytes at most, or by less than a row.  Only cells around a boundary reach the
+    driver: at most ``16 ** FIRST_DIGITS`` in the first round and ``n_shards * 16 ** MORE_DIGITS`` in each later one.
     """
-    width = len(keys.select("key").head()[0])
-    depth, rounds = FIRST_DIGITS, 0
-    done: dict[int, tuple[str, int]] = {}
-    total = None
-    open_cells: dict[str, tuple[int, int, list[int]]] = {"": (0, 0, list(range(1, n_pieces)))}  # prefix -> bytes and rows below, boundaries inside
+    depth, rounds, total = FIRST_DIGITS, 0, None
+    done: dict[int, int] = {}
+    open_cells: dict[str, tuple[int, int, list[int]]] = {"": (0, 0, list(range(1, n_shards)))}  # prefix -> bytes and rows below, boundaries inside
     while open_cells:
-        prefix = F.substring("key", 1, depth)
-        scope = keys if "" in open_cells else keys.where(F.substring("key", 1, len(next(iter(open_cells)))).isin(list(open_cells)))
-        found = scope.groupBy(prefix.alias("cell")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
-        rounds += 1
-        if total is None:
-            total = sum(r["bytes"] for r in found)
-        exact, coarse = tolerance * total / n_shards, inner_tolerance * total / n_pieces
-        by_parent: dict[str, list] = {}
         parent_len = len(next(iter(open_cells)))
-        for r in found:
+        scope = keys if not parent_len else keys.where(F.substring("key", 1, parent_len).isin(list(open_cells)))
+        found = scope.groupBy(F.substring("key", 1, depth).alias("cell")).agg(
+            F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        by_parent: dict[str, list] = {}
+        for r in found.collect():
             by_parent.setdefault(r["cell"][:parent_len], []).append(r)
+        rounds += 1
+        if total is None:
+            total = sum(r["bytes"] for r in by_parent[""])
         next_cells: dict[str, tuple[int, int, list[int]]] = {}
+        next_depth = WIDTH
         for parent, (bytes_below, rows_below, wanted) in open_cells.items():
             cells = sorted(by_parent[parent], key=lambda r: r["cell"])
             bytes_at = list(accumulate((r["bytes"] for r in cells), initial=bytes_below))
             rows_at = list(accumulate((r["rows"] for r in cells), initial=rows_below))
             for i in wanted:
-                target = total * i / n_pieces
+                target = total * i / n_shards
                 at = min(max(bisect_right(bytes_at, target) - 1, 0), len(cells) - 1)
-                below, above = bytes_at[at], bytes_at[at + 1]
-                allowed = coarse if i * n_shards % n_pieces else exact
-                if min(target - below, above - target) <= allowed or cells[at]["rows"] == 1 or depth >= width:
-                    at += above - target < target - below
-                    done[i] = (cells[at]["cell"] if at < len(cells) else parent + "g", rows_at[at])  # "g" sorts after every digit
+                below, above, cell = bytes_at[at], bytes_at[at + 1], cells[at]
+                if min(target - below, above - target) <= tolerance * total / n_shards or cell["rows"] == 1:
+                    done[i] = rows_at[at + (above - target < target - below)]
+                elif cell["low"] == cell["high"]:  # copies of one row, all of one size
+                    done[i] = rows_at[at] + round((target - below) * cell["rows"] / cell["bytes"])
                 else:
-                    cell = cells[at]["cell"]
-                    next_cells.setdefault(cell, (below, rows_at[at], []))[2].append(i)
-        open_cells, depth = next_cells, min(depth + MORE_DIGITS, width)
+                    next_cells.setdefault(cell["cell"], (below, rows_at[at], []))[2].append(i)
+                    next_depth = min(next_depth, _shared_digits(cell["low"], cell["high"]) + MORE_DIGITS)
+        open_cells, depth = next_cells, min(max(next_depth, depth + 1), WIDTH)
     return [done[i] for i in sorted(done)], rounds
 
 
+def _cells(keyed: DataFrame, first: int, deeper: list[DataFrame]) -> DataFrame:
+    """``keyed`` plus ``cell``: the first digits of the key, as many as its last entry in the tables (cell, digits) says.
+
+    A table has a row for each cell above a task's share, so at most ``MAX_TASKS`` of them, and is broadcast.
+    """
+    out = keyed.withColumn("cell", F.substring("key", 1, first))
+    for table in deeper:
+        more = F.coalesce(F.expr("substring(key, 1, digits)"), F.col("cell"))
+        out = out.join(F.broadcast(table), "cell", "left").withColumn("cell", more).drop("digits")
+    return out
+
+
 def histogram_shards(
-    docs: DataFrame,
-    n_shards: int = 16,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    tolerance: float = 1e-4,
-    piece_bytes: int = 256 << 20,
+    docs: DataFrame, n_shards: int = 16, text_col: str = "text", tolerance: float = 1e-4, task_bytes: int = TASK_BYTES
 ) -> DataFrame:
     """All columns of ``docs`` plus ``size``, ``shard`` and ``slot`` (gapless from 0 in each shard, in key order).
 
-    ``tolerance`` is the share of a shard's bytes by which a boundary may miss.  A shard is cut into pieces of about
-    ``piece_bytes``, each sorted by one task, so neither a shard nor a group of equal texts ever has to fit in a task.
-    Equal texts have adjacent keys; a group larger than its share of the bytes runs across a boundary.
+    ``tolerance`` is the share of a shard's bytes by which a boundary may miss; ``task_bytes`` is what a task sorts.  Equal
+    texts have adjacent keys; a group larger than its share of the bytes runs across a boundary, and through several tasks.
 
-    Null texts count as empty (size 1) and null ids sort first.  Rows that agree in every column have equal keys and
-    share a piece.  Input columns named size, shard or slot (in any case) are replaced.  An empty table gives no rows.
+    Null texts count as empty (size 1).  Rows that agree in every column are interchangeable; very many of them are counted
+    and made again, so they need no task of their own.  A very long text is a row like others, and a boundary misses by half of it
+    at most.  Input columns named size, shard or slot (in any case) are replaced, also where one of them holds the text.
+    An empty table gives no rows.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    docs = without(docs, "size", "shard", "slot")
-    keyed = docs.select("*", byte_size(F.col(quoted(text_col))).alias("size"), sort_key(docs, id_col, text_col).alias("__key"))
-    keys = written(keyed.select(F.col("__key").alias("key"), "size"), "shard-keys")
+    names = without(docs, "size", "shard", "slot").columns
+    numbered = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)]
+    keyed = docs.select(*numbered, byte_size(F.col(quoted(text_col))).alias("size"), sort_key(docs, text_col).alias("key"))
+    keys = written(keyed.select("key", "size"), "shard-keys")
     total, n_rows = keys.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not n_rows:
-        return docs.select("*", F.lit(0).cast("long").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
-    per_shard = max(1, -(-total // (n_shards * piece_bytes)))
-    n_pieces = n_shards * per_shard
-    splitters, _ = find_splitters(keys, n_pieces, tolerance, n_shards)
-
-    # Every row finds its piece from a table of the first key digits: at most 16**FIRST_DIGITS rows, so it may be broadcast.
-    first_rows = [0, *(rows for _, rows in splitters)]
-    start_of_shard = [first_rows[i - i % per_shard] for i in range(n_pieces)]
-    cells = []
-    starts = sorted(s for s, _ in splitters)
-    for value in range(16**FIRST_DIGITS):
-        cell = format(value, f"0{FIRST_DIGITS}X")
-        before, upto = bisect_right(starts, cell), bisect_left(starts, cell + "g")
-        cells.append((cell, before, starts[before:upto]))
+        return docs.select(*[F.col(quoted(c)) for c in names], F.lit(0).cast("long").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
+    boundaries, _ = find_boundaries(keys, n_shards, tolerance)
+
+    # Cells of a task's share at most; what is too large is cut again, but for rows that are all alike.
+    n_tasks = min(max(-(-total // task_bytes), TASKS_PER_SHARD * n_shards), MAX_TASKS)
+    share = total / n_tasks
+    first, deeper = max(1, ceil(log(n_tasks, 16))), []
+    while True:
+        sums = [F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")]
+        cells = written(_cells(keys, first, deeper).groupBy("cell").agg(*sums), "shard-cells")
+        large = cells.where((F.col("bytes") > share) & (F.col("rows") > 1) & (F.length("cell") < WIDTH))
+        alike = F.size(F.filter(F.sequence(F.lit(1), F.lit(WIDTH)), lambda i: F.substr("low", F.lit(1), i) == F.substr("high", F.lit(1), i)))
+        digits = F.least(F.lit(WIDTH), alike + F.ceil(F.log(16.0, 4 * F.col("bytes") / share)).cast("int"))
+        large = large.select("cell", digits.alias("digits"))
+        if large.isEmpty():
+            break
+        deeper.append(large)
+    solid = (F.col("bytes") > share) & (F.col("rows") > 1) & (F.length("cell") == WIDTH)
+    cells = cells.select("cell", "rows", solid.alias("solid"))
+
+    # The first rank of each cell: sums of the groups by first digits on the driver, sums inside a group by a window.
+    group = F.substring("cell", 1, min(first, FIRST_DIGITS))
+    sums = sorted((r["g"], r["n"]) for r in cells.groupBy(group.alias("g")).agg(F.sum("rows").alias("n")).collect())
     spark = docs.sparkSession
-    cell_schema = T.StructType([T.StructField("__cell", T.StringType()), T.StructField("__before", T.IntegerType()), T.StructField("__inside", T.ArrayType(T.StringType()))])
-    cell_table = spark.createDataFrame(cells, cell_schema)
-    piece_schema = T.StructType([T.StructField("__piece_id", T.IntegerType()), T.StructField("__offset", T.LongType())])
-    piece_table = spark.createDataFrame([(i, first_rows[i] - start_of_shard[i]) for i in range(n_pieces)], piece_schema)
-
-    key = F.col("__key")
-    placed = (
-        keyed.join(F.broadcast(cell_table), F.substring(key, 1, FIRST_DIGITS) == F.col("__cell"))
-        .withColumn("__piece", F.col("__before") + F.size(F.filter("__inside", lambda s: s <= key)))
-        .drop("__cell", "__before", "__inside")
-        .repartitionById(n_pieces, F.col("__piece"))
-    )
-    numbered = placed.withColumn("__rank", F.row_number().over(Window.partitionBy("__piece").orderBy("__key")))
-    return (
-        numbered.join(F.broadcast(piece_table), F.col("__piece") == F.col("__piece_id"))
-        .withColumns({"shard": F.floor(F.col("__piece") / per_shard).cast("int"), "slot": F.col("__offset") + F.col("__rank") - 1})
-        .drop("__key", "__piece", "__piece_id", "__offset", "__rank")
-    )
+    bases = spark.createDataFrame(list(zip((g for g, _ in sums), accumulate((n for _, n in sums), initial=0))), "g string, base long")
+    upto = Window.partitionBy("g").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.withColumn("g", group).join(F.broadcast(bases), "g").withColumn("start", F.col("base") + F.coalesce(F.sum("rows").over(upto), F.lit(0)))
+    starts = written(starts.select("cell", "start", "rows", "solid"), "shard-starts")
+
+    # Cells of the usual length go to tasks in key order, which their hashes fill evenly; longer ones, parts of a large group, to any.
+    in_order = F.floor(F.conv("cell", 16, 10).cast("double") * n_tasks / 16**first)
+    task = F.when(F.length("cell") == first, in_order).otherwise(F.pmod(F.xxhash64("cell"), F.lit(n_tasks))).cast("int")
+    rows = _cells(keyed, first, deeper).select("cell", "key", F.struct(*[f"c{i}" for i in range(len(names))]).alias("row"), "size", F.lit(None).cast("long").alias("start"))
+    copies = starts.where("solid").select("cell", "start").collect() if deeper else []  # each has more than a task's share
+    if copies:
+        several = rows.where(F.col("cell").isin([c["cell"] for c in copies]))
+        rows = rows.where(~F.col("cell").isin([c["cell"] for c in copies]))
+    markers = starts.where("not solid").select("cell", F.lit("").alias("key"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.lit(None).cast("long").alias("size"), "start")
+    sent = rows.unionByName(markers).withColumn("task", task).repartitionById(n_tasks, F.col("task"))
+    in_cell = Window.partitionBy("task", "cell").orderBy("key")
+    ranked = sent.withColumn("rank", F.first("start").over(in_cell) + F.row_number().over(in_cell) - 2).where("start is null").select("row", "size", "rank")
+    if copies:
+        counted = several.groupBy("cell").agg(F.first("row").alias("row"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        counted = counted.join(F.broadcast(spark.createDataFrame([(c["cell"], c["start"]) for c in copies], "cell string, first long")), "cell")
+        blocks = counted.select("row", "size", "first", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("block")).repartition(n_tasks)
+        each = F.explode(F.sequence(F.col("block"), F.least(F.col("block") + COPIES, F.col("n")) - 1))
+        ranked = ranked.unionByName(blocks.select("row", "size", "first", each.alias("i")).select("row", "size", (F.col("first") + F.col("i")).alias("rank")))
+    shard = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in boundaries]), lambda b: b <= F.col("rank"))) if boundaries else F.lit(0)
+    begins = F.array(*[F.lit(b).cast("long") for b in (0, *boundaries)])
+    placed = ranked.withColumn("shard", shard)
+    return placed.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)], "size", "shard", (F.col("rank") - F.get(begins, F.col("shard"))).alias("slot"))
