@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import quoted, text_of, without
+from .shared import quoted, text_of, unused, without
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 
@@ -77,64 +77,101 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 
 _SPAN = "struct<kind:string,start:int,end:int,score:double>"
+#: Elements of a block of the running sums and maxima.
+_BLOCK = 256
 
 
-def _spans(kind: Kind, matches: Column, between: Column) -> Column:
-    """Confirmed matches with their positions in code points; ``between`` holds what lies before each match."""
+def _running(values: Column, step) -> Column:
+    """For each element of an array what ``step`` makes, from 0, of all before it: sums over whole blocks, then inside the block.
 
-    def step(acc: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-        before = F.get(between, i)
-        start = acc["at"] + F.length(before)
-        end = start + F.length(match)
+    A fold that grows an array copies it for every element; this takes a block's steps for each.  The array must be a column, as
+    it is read more than once.
+    """
+    first = F.array(F.lit(0))
+    whole = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)), F.lit(0), step))
+    starts = F.aggregate(whole, first, lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x))))
+    blocks = F.zip_with(
+        starts, F.transform(F.sequence(F.lit(0), F.size(starts) - 2), lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))),
+        lambda start, part: F.transform(part, lambda _, i: F.aggregate(F.slice(part, F.lit(1), i), start, step)),
+    )
+    return F.when(F.size(values) > 0, F.flatten(F.filter(blocks, lambda b: b.isNotNull()))).otherwise(F.array().cast("array<int>"))
+
+
+def _spans(kind: Kind, matches: str, between: str, starts: str) -> Column:
+    """Confirmed matches with their positions in code points; ``between`` holds what lies before each match, ``starts`` where that begins."""
+
+    def span(m: Column) -> Column:
+        match, before = m[matches], m[between]
+        start = m[starts] + F.length(before)
         near = F.lower(F.right(before, F.lit(CONTEXT))).rlike(f"(?<![a-z])(?:{kind.words})")
         score = F.lit(kind.score) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         keep = _confirmed(kind.name, match)
         if not kind.base:
             keep = keep & (score >= MIN_SCORE)
-        span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        found = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"), score.alias("score"))
+        return F.when(keep, found)
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(between) - 2), first, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    each = F.transform(F.arrays_zip(matches, between, starts), span)
+    return F.when(F.size(matches) > 0, F.filter(each, lambda s: s.isNotNull())).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``pii``: an array of (kind, start, end, score), by kind as listed, then start.
 
-    Positions count code points, the end exclusive, in the whole text.  A null or empty text has no spans.  Repeated rows
-    stay.  An input column called pii (in any case) is replaced.  An empty table gives no rows.
+    Positions count code points, the end exclusive, in the whole text, whatever its length.  A null or empty text has no
+    spans.  Repeated rows stay.  An input column called pii (in any case) is replaced, also where it holds the text.  An
+    empty table gives no rows.
     """
-    docs = without(docs, "pii")
-    names = [F.col(quoted(c)) for c in docs.columns]
-    text = text_of(F.col(quoted(text_col)))
+    names = without(docs, "pii").columns
+    columns = [F.col(quoted(c)) for c in names]
+    given, *rest = unused((*names, "pii"), "given", *(f"{part}_{k.name}" for part in ("match", "between", "length", "start") for k in KINDS))
+    found, between, lengths, starts = (dict(zip(KINDS, rest[i * len(KINDS) :])) for i in range(4))
     none = F.array().cast("array<string>")
+    text = F.col(given)
 
     def matches(kind: Kind) -> Column:
-        found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-        return found if kind.needs is None else F.when(F.contains(text, F.lit(kind.needs)), found).otherwise(none)
+        spans = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+        return spans if kind.needs is None else F.when(F.contains(text, F.lit(kind.needs)), spans).otherwise(none)
 
-    one = docs.select(*names, *[matches(k).alias(f"__m_{k.name}") for k in KINDS])
-    two = one.select("*", *[F.when(F.size(f"__m_{k.name}") > 0, F.split(text, k.pattern, -1)).otherwise(none).alias(f"__b_{k.name}") for k in KINDS])
-    three = two.select(*names, *[_spans(k, F.col(f"__m_{k.name}"), F.col(f"__b_{k.name}")).alias(f"__s_{k.name}") for k in KINDS])
-    return three.select(*names, F.concat(*[F.col(f"__s_{k.name}") for k in KINDS]).alias("pii"))
+    one = docs.select(*columns, text_of(F.col(quoted(text_col))).alias(given))
+    two = one.select("*", *[matches(k).alias(found[k]) for k in KINDS])
+    # As many parts as matches: what follows the last one is not needed.
+    parts = lambda k: F.when(F.size(found[k]) > 0, F.slice(F.split(text, k.pattern, -1), F.lit(1), F.size(found[k]))).otherwise(none)
+    three = two.select(*columns, *found.values(), *[parts(k).alias(between[k]) for k in KINDS])
+    sizes = lambda k: F.zip_with(found[k], between[k], lambda m, b: F.length(m) + F.length(b))
+    four = three.select("*", *[sizes(k).alias(lengths[k]) for k in KINDS])
+    five = four.select("*", *[_running(F.col(lengths[k]), lambda a, x: a + x).alias(starts[k]) for k in KINDS])
+    return five.select(*columns, F.concat(*[_spans(k, found[k], between[k], starts[k]) for k in KINDS]).alias("pii"))
 
 
 def redact(found: DataFrame, text_col: str = "text") -> DataFrame:
-    """The result of ``find_pii`` with every span (overlapping ones together) replaced by its kind in brackets; a null text stays null."""
-    text = F.col(quoted(text_col))
-    ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
-    staged = found.withColumn("__ordered", ordered)
-
-    def step(acc: Column, s: Column) -> Column:
-        end = -s["minus_end"]
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(F.greatest(acc["at"], end).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
+    """The result of ``find_pii`` with every span (overlapping ones together) replaced by its kind in brackets; a null text stays null.
 
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("__ordered", first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(1 << 30))))
-    return staged.withColumn(text_col, F.when(F.size("__ordered") > 0, masked).otherwise(text)).drop("__ordered")
+    Of overlapping spans the first names the kind (of those the longest).  All other columns stay.
+    """
+    given = F.col(quoted(text_col))
+    spans, ends, high, pieces = unused(found.columns, "spans", "ends", "high", "pieces")
+    ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
+    one = found.withColumn(spans, ordered)
+    two = one.withColumn(ends, F.transform(spans, lambda s: -s["minus_end"]))
+    three = two.withColumn(high, _running(F.col(ends), lambda a, x: F.greatest(a, x)))
+    # What is kept before each span that begins where the ones before have ended.
+    each = F.zip_with(spans, high, lambda s, h: F.when(s["start"] >= h, F.struct(h.alias("start"), s["start"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("mark"))))
+    four = three.withColumn(pieces, F.filter(each, lambda p: p.isNotNull()))
+
+    def block(part: Column) -> Column:
+        # A substring is found from the start of its text, so pieces are taken from the text of their block.
+        start = part[0]["start"]
+        text = F.substr(given, start + 1, F.element_at(part, -1)["end"] - start)
+        return F.aggregate(
+            F.array(text), F.lit(""), lambda _, t: F.array_join(F.transform(part, lambda p: F.concat(F.substr(t, p["start"] - start + 1, p["end"] - p["start"]), p["mark"])), "")
+        )
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _BLOCK).cast("int"))
+    blocks = F.transform(F.transform(numbers, lambda b: F.slice(pieces, b * _BLOCK + 1, F.lit(_BLOCK))), block)
+    masked = F.concat(F.array_join(blocks, ""), F.substr(given, F.array_max(ends) + 1))
+    out = F.when(F.size(pieces) > 0, masked).otherwise(given)
+    return four.select([out.alias(c) if c.lower() == text_col.lower() else F.col(quoted(c)) for c in found.columns])
 
 
 def spans_text(pii: Column, base_only: bool = False) -> Column:
