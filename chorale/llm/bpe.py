@@ -21,12 +21,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import quoted, ship, text_of, without
+from .shared import quoted, ship, text_of, unused, without
 
 #: A word of more parts than this is merged with a heap.
 SHORT_PARTS = 200
-#: Chunks and words that a Python worker remembers.
-REMEMBERED = 200_000
+#: Chunks and words that a Python worker remembers, and the longest of them, so that the tables have some 100 MB at most.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 #: The vocabulary file is broadcast; a larger one is refused.
 VOCABULARY_BYTES = 64 << 20
 _SHIFT, _NONE = 21, 1 << 62
@@ -48,13 +48,15 @@ def _byte_letters() -> list[str]:
 
 
 class _Remembered(dict):
-    """A table that fills itself and starts afresh when full."""
+    """A table that fills itself and starts afresh when full; long keys are not kept."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
     def __missing__(self, key):
+        if len(key) > REMEMBERED_CHARS:
+            return self.make(key)
         if len(self) >= REMEMBERED:
             self.clear()
         value = self[key] = self.make(key)
@@ -213,10 +215,12 @@ def encoder(spark: SparkSession, path: str):
 def bpe_encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``ids`` (binary) and ``decoded`` (string) of every whole text.
 
-    A null or empty text has no ids and the empty decoded text.  Repeated rows stay.  Input columns named ids or decoded
-    (in any case) are replaced.  An empty table gives no rows.
+    A null or empty text has no ids and the empty decoded text; a long one takes memory for itself and its ids.  Repeated rows
+    stay.  Input columns named ids or decoded (in any case) are replaced, also where one of them holds the text.  An empty
+    table gives no rows.
     """
-    docs = without(docs, "ids", "decoded")
+    names = without(docs, "ids", "decoded").columns
+    (pair,) = unused((*names, "ids", "decoded"), "pair")
     both: Column = encoder(docs.sparkSession, path)(text_of(F.col(quoted(text_col))))
-    columns = [F.col(quoted(c)) for c in docs.columns]
-    return docs.select(*columns, both.alias("__bpe")).select(*columns, F.col("__bpe.ids").alias("ids"), F.col("__bpe.decoded").alias("decoded"))
+    columns = [F.col(quoted(c)) for c in names]
+    return docs.select(*columns, both.alias(pair)).select(*columns, f"{pair}.ids", f"{pair}.decoded")
