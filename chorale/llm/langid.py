@@ -14,20 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import checkpointed, quoted, ship, text_of, without
+from .shared import checkpointed, quoted, ship, text_of, unused, without
 
 #: Buckets of n-grams (a power of two) and the lengths of n-grams.
 BUCKETS, LENGTHS = 1 << 15, (1, 2, 3)
 #: Learning rows are a sample by hash of about this many (all, if there are fewer).
 SAMPLE_ROWS = 20_000
-#: Languages that the broadcast matrix may have: it takes BUCKETS x 4 bytes for each.
-MAX_LANGUAGES = 500
+#: Languages that the broadcast matrix may have: it takes BUCKETS x 4 bytes for each, so 262 MB for all.
+MAX_LANGUAGES = 2000
 SMOOTHING = 0.5
 #: The score is the winner's share when an average n-gram's evidence counts this many times.
 EVIDENCE = 30.0
 UNDETERMINED = "und"
-#: Code points of texts that are scored at once.
-_BLOCK_CHARS = 1 << 20
+#: Log-probabilities that are gathered at once: code points of a block times languages.
+_BLOCK_CELLS = 1 << 23
 #: Multipliers of the rolling hash (odd 64-bit constants).
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _TOP = np.uint64(64 - (BUCKETS.bit_length() - 1))
@@ -66,6 +66,7 @@ class Model:
         smooth = counts + SMOOTHING
         self.logs = np.log(smooth / smooth.sum(0, keepdims=True)).astype(np.float32)
         self.priors = np.log(documents / documents.sum()).astype(np.float64)
+        self.block_chars = max(1, _BLOCK_CELLS // len(languages))
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language (ties: the first by name) and its score for each text, null or without letters: und, 0."""
@@ -73,7 +74,7 @@ class Model:
         at = 0
         while at < len(texts):
             chosen, arrays, size = [], [], 0
-            while at < len(texts) and (not chosen or size < _BLOCK_CHARS):
+            while at < len(texts) and (not chosen or size < self.block_chars):
                 text = texts[at]
                 if text and has_letter(text):
                     codes = codes_of(text)
@@ -95,7 +96,7 @@ class Model:
     def _sums(self, arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihoods and numbers of n-grams; a text longer than a block is summed in parts."""
         out, grams = np.zeros((len(arrays), len(self.languages))), np.zeros(len(arrays))
-        short = [i for i, a in enumerate(arrays) if len(a) <= _BLOCK_CHARS]
+        short = [i for i, a in enumerate(arrays) if len(a) <= self.block_chars]
         if short:
             joined = np.concatenate([arrays[i] for i in short])
             ends = np.cumsum([len(arrays[i]) for i in short])
@@ -109,8 +110,8 @@ class Model:
         for i in set(range(len(arrays))) - set(short):
             for n, found in zip(LENGTHS, buckets_of(arrays[i])):
                 grams[i] += len(found)
-                for at in range(0, len(found), _BLOCK_CHARS):
-                    out[i] += self.logs[found[at : at + _BLOCK_CHARS]].sum(0, dtype=np.float64)
+                for at in range(0, len(found), self.block_chars):
+                    out[i] += self.logs[found[at : at + self.block_chars]].sum(0, dtype=np.float64)
         return out, grams
 
 
@@ -164,13 +165,16 @@ def held_out(id_col: str | Column) -> Column:
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``score`` (0 to 1) of every whole text.
 
-    A null text, or one without a letter, is ``und`` with score 0, and so is all if nothing could be learned.  Repeated rows
-    stay and agree.  Input columns called lang_pred or score (in any case) are replaced.  An empty table gives no rows.
+    A null text, or one without a letter, is ``und`` with score 0, and so is all if nothing could be learned.  Of equally
+    likely languages the first by name counts.  A very long text is scored in parts whose evidence is added.  Repeated rows stay
+    and agree.  Input columns called lang_pred or score (in any case) are replaced, also where one of them holds the text.
+    An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = without(docs, "lang_pred", "score")
-    columns = [F.col(quoted(c)) for c in docs.columns]
+    names = without(docs, "lang_pred", "score").columns
+    (judged,) = unused((*names, "lang_pred", "score"), "judged")
+    columns = [F.col(quoted(c)) for c in names]
     if model is None:
         return docs.select(*columns, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(model)
@@ -181,5 +185,5 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
             names, scores = shared.value.score(texts.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
-    judged = docs.select(*columns, judge(text_of(F.col(quoted(text_col)))).alias("__lang"))
-    return judged.select(*columns, F.col("__lang.lang").alias("lang_pred"), F.col("__lang.score").alias("score"))
+    rows = docs.select(*columns, judge(text_of(F.col(quoted(text_col)))).alias(judged))
+    return rows.select(*columns, F.col(f"{judged}.lang").alias("lang_pred"), f"{judged}.score")
