@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import checkpointed, quoted, ship, text_of, without, written
+from .shared import checkpointed, quoted, ship, text_of, unused, without, written
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
 #: Fingerprints under one key above which the key is refined.
@@ -32,24 +32,29 @@ BROADCAST_KEYS = 100_000
 _BLOCK = 1 << 16
 
 
-def fingerprint_of(raw: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """The SimHash of a UTF-8 text: A-Z lower-cased, ASCII white space between words, repeats counted; no words: 0."""
+def shingle_hashes(raw: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
+    """The hashes of all shingles of a UTF-8 text: A-Z lower-cased, ASCII white space between words; few words are one shingle."""
     words = raw.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words)))) if len(words) >= shingle_words else [b" ".join(words)]
-    n = max(1, len(words) - shingle_words + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64, n)
+    return np.fromiter((digest(s, seed) for s in shingles), np.uint64, max(1, len(words) - shingle_words + 1))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash: bits that are set in over half the hashes; without any: 0."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, _BLOCK):
+    for at in range(0, len(hashes), _BLOCK):
         ones += np.unpackbits(hashes[at : at + _BLOCK].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view(np.int64)[0])
+    return int(np.packbits(2 * ones > len(hashes)).view(np.int64)[0])
 
 
 def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pa.array([fingerprint_of(t.as_py() or b"") for t in texts.cast(pa.binary())], pa.int64())
+        yield pa.array([fingerprint_of(shingle_hashes(t.as_py() or b"")) for t in texts.cast(pa.binary())], pa.int64())
 
 
 fingerprint = F.arrow_udf(_fingerprints, T.LongType())
@@ -126,39 +131,23 @@ def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
     return _join(keyed.join(dense, "key", "left_anti"), ["key"]).union(_join(fine, ["key", "fine"])).distinct()
 
 
-def _grouped(fingerprinted: DataFrame, least: Column) -> DataFrame:
-    """(fp, best) with the least value of ``least`` over all rows of the fingerprint's component."""
-    nodes = checkpointed(fingerprinted.groupBy("fp").agg(least.alias("best")))
-    members = components(fingerprint_links(nodes.select("fp")))
-    rooted = nodes.join(members, nodes["fp"] == members["node"], "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
-    best = rooted.groupBy("root").agg(F.min("best").alias("component"))
-    return rooted.join(best, "root").select(F.col("fp").alias("__of"), "component")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None) -> DataFrame:
     """The columns ``carry`` (all) of ``docs`` plus ``fp`` (long) and ``component_id``: the smallest id reachable.
 
-    A null or empty text has fingerprint zero and is linked like any other; equal fingerprints are linked.  Null ids do
-    not count as smallest: a component of null ids only has a null component_id.  Repeated rows stay.  Input columns named
-    fp or component_id (in any case) are replaced.  An empty table gives no rows.
+    A null or empty text has fingerprint zero and is linked like any other; equal fingerprints are linked.  A long text is
+    hashed as a whole.  Null ids do not count as smallest: a component of null ids only has a null component_id.  Repeated rows
+    stay and agree.  Input columns named fp or component_id (in any case) are replaced, also where one of them holds the id or
+    text.  An empty table gives no rows.
     """
     ship(docs.sparkSession)
-    docs = without(docs, "fp", "component_id")
-    carried = [F.col(quoted(c)) for c in (docs.columns if carry is None else carry)]
-    ids = F.col(quoted(id_col))
-    marked = written(docs.select(*carried, ids.alias("__id"), fingerprint(text_of(F.col(quoted(text_col)))).alias("fp")), "fingerprints")
-    groups = _grouped(marked.select("fp", "__id"), F.min("__id"))
+    names = without(docs, "fp", "component_id").columns
+    names = names if carry is None else [c for c in names if c in carry]
+    given, of = unused((*names, "fp", "component_id"), "given", "of")
+    marked = written(docs.select(*[F.col(quoted(c)) for c in names], F.col(quoted(id_col)).alias(given), fingerprint(text_of(F.col(quoted(text_col)))).alias("fp")), "fingerprints")
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min(given).alias("best")))
+    members = components(fingerprint_links(nodes.select("fp")))
+    rooted = nodes.join(members, nodes["fp"] == members["node"], "left").select(F.col("fp").alias(of), "best", F.coalesce("root", "fp").alias("root"))
+    best = rooted.groupBy("root").agg(F.min("best").alias("component_id"))
     # Many rows to one: a hot fingerprint is split by AQE's skew join.
-    joined = marked.join(groups, marked["fp"] == groups["__of"])
-    return joined.drop("__of", "__id").withColumnRenamed("component", "component_id")
-
-
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component: the one with the smallest id (a null id is smaller), then any one of equal ids."""
-    ship(docs.sparkSession)
-    names = docs.columns
-    marked = written(docs.select("*", fingerprint(text_of(F.col(quoted(text_col)))).alias("__fp"), F.monotonically_increasing_id().alias("__row")), "fingerprints")
-    rank = F.struct(F.col(quoted(id_col)).alias("id"), F.col("__row").alias("row"))
-    groups = _grouped(marked.select(F.col("__fp").alias("fp"), rank.alias("rank")), F.min("rank"))
-    chosen = groups.select(F.col("component.row").alias("__row")).distinct()
-    return marked.join(chosen, "__row", "left_semi").select(*map(quoted, names))
+    joined = marked.drop(given).join(rooted.join(best, "root").select(of, "component_id"), F.col("fp") == F.col(of))
+    return joined.drop(of)
