@@ -1,8 +1,9 @@
 """Licence scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance along directories.
 
-Only lines with a licence cue (or whole licence files with one) become term vectors, so what is shuffled is a small
-share of the texts.  A licence file counts by the best of its whole text, its paragraphs and its lines with a cue.  Files without a verdict of their own take that of the nearest ancestor directory with a licence
-file: directories, not files, are expanded into their ancestors and joined by path.
+Only what lies around lines with a licence cue (and whole licence files with one) becomes term vectors, so what is shuffled is a
+small share of the texts.  Headers are often wrapped, so each cue line counts alone and with its next lines, from itself or from
+the line before; the best cosine of a file decides.  Files without a verdict of their own take that of the nearest ancestor
+directory with a licence file: directories, not files, are expanded into their ancestors, of any depth, and joined by path.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ LICENSE_FILES = r"(?i)^(?:licen[sc]e|copying|notice|unlicense)(?:[.][a-z]+)?$"
 #: Terms: letters and digits, with inner dots (versions) kept.
 TERM_GAP = r"[^a-z0-9.]+|[.](?![a-z0-9])|(?<![a-z0-9])[.]"
 MIN_COSINE = 0.6
-#: Directory levels up to which a licence file is inherited.
-MAX_DEPTH = 64
+#: First line (from the cue line) and number of lines of the windows around a cue.
+WINDOWS = ((0, 1), (0, 2), (0, 4), (-1, 2), (-1, 4))
 #: Characters of templates: they are a parameter, and their terms are broadcast.
 TEMPLATE_CHARS = 8 << 20
 #: Terms of two rows or more up to this many are broadcast (a few MB); more are joined by a shuffle, with AQE's skew join.
@@ -63,81 +64,82 @@ def _vectors(spark: SparkSession, templates) -> DataFrame:
     return spark.createDataFrame(rows, "template int, licence string, term string, tf long")
 
 
+def _windows(text: Column) -> Column:
+    """The distinct windows of lines around the lines with a cue."""
+    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
+    cued = F.transform(F.filter(lines, lambda x: x["line"].rlike(CUES)), lambda x: x["i"])
+    # Lines count from 1 in a slice; a window that would begin before the text begins with it.
+    around = lambda i: F.array(*[F.struct(F.greatest(i + 1 + at, F.lit(1)).alias("at"), F.lit(n).alias("n")) for at, n in WINDOWS])
+    places = F.array_distinct(F.flatten(F.transform(cued, around)))
+    return F.array_distinct(F.transform(places, lambda w: F.array_join(F.slice(F.split(text, "\n"), w["at"], w["n"]), "\n")))
+
+
 def scan_licenses(
-    files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, carry: tuple[str, ...] | None = None,
-    by_block: bool = True, all_terms: bool = True,
+    files: DataFrame, path_col: str = "path", text_col: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, carry: tuple[str, ...] | None = None
 ) -> DataFrame:
     """The columns ``carry`` (all but the text) of ``files`` plus license, cosine, via and from_dir.
 
     ``via`` is ``header`` or ``file`` for a verdict on the row's own text (a file if its name is a licence file's), else
-    ``inherited`` with the directory it comes from, else null like all four.  The best cosine decides, then the smaller
-    licence name; in a directory with several licence files likewise.  Inverse document frequencies count all rows with a
-    cue.  A null or empty text has no verdict of its own; a null path inherits nothing.  Repeated rows stay and agree.
-    Input columns named like a result (in any case) are replaced.  An empty table gives no rows.  Without ``by_block``
-    licence files are scored by their whole text only; without ``all_terms`` only template terms are counted, and any other
-    term passes for the rarest.
+    ``inherited`` with the directory it comes from, else null like all four.  The best cosine of the text's windows (and of a
+    licence file's whole text) decides, then the smaller licence name; in a directory with several licence files likewise.
+    Inverse document frequencies count all rows with a cue, and in them what was compared.  A null or empty text has no verdict
+    of its own; a null path inherits nothing.  Texts may be long and paths deep.  Repeated rows stay and agree.  Input columns
+    named like a result (in any case) are replaced.  An empty table gives no rows.
     """
     spark = files.sparkSession
     names = list(carry) if carry is not None else [c for c in without(files, "license", "cosine", "via", "from_dir").columns if c != text_col]
     text, path = text_of(F.col(quoted(text_col))), F.col(quoted(path_col))
     name = F.regexp_extract(F.coalesce(path, F.lit("")), r"(?s)([^/]*)$", 1)
     is_file = name.rlike(LICENSE_FILES)
-    cue_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(CUES))
-    has_cue = text.rlike(CUES)
-    header = F.when(has_cue, F.when(is_file, text).otherwise(F.array_join(cue_lines, "\n")))
-    # What is scored: the header or whole file first, then the paragraphs and lines with a cue of a licence file.
-    cued = lambda parts: F.filter(parts, lambda part: part.rlike(CUES))
-    blocks = F.array_distinct(F.concat(cued(F.split(text, r"\n[\x20\x09\x0B-\x0D]*\n")), cue_lines))
-    scored_texts = F.when(has_cue, F.concat(F.array(header), F.when(is_file, F.filter(blocks, lambda b: b != text)).otherwise(F.array().cast("array<string>"))))
-    units = F.transform(scored_texts if by_block else F.when(has_cue, F.array(header)), _terms)
+    compared = F.array_union(F.when(is_file, F.array(text)).otherwise(F.array().cast("array<string>")), _windows(text))
     slim = written(
         files.select(
             *[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)],
             F.monotonically_increasing_id().alias("row"),
             is_file.alias("is_file"),
             F.when(path.isNotNull(), F.regexp_replace(path, r"(?s)/?[^/]*$", "")).alias("dir"),
-            units.alias("units"),
+            F.when(text.rlike(CUES), F.transform(compared, _terms)).alias("units"),
         ),
         "licenses",
     )
-    # Term counts of rows with a cue; idf of terms over those rows.
+    # Term counts of what is compared; idf of terms over the rows with a cue.
     exploded = slim.where("units is not null").select("row", F.posexplode("units").alias("unit_no", "terms")).select("row", "unit_no", F.explode("terms").alias("term"))
     counts = written(exploded.groupBy("row", "unit_no", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
     n_rows = slim.where("units is not null").count()
+    idf_of = lambda df: F.log((F.lit(1.0) + n_rows) / (1 + df)) + 1
+    # Terms of one row, the most by far, need no table.
+    often = counts.select("row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    known = written(often.select("term", idf_of(F.col("df")).alias("idf")), "license-idf")
+    few = F.broadcast(known) if known.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else known
+    mine = counts.join(few, "term", "left").select("row", "unit_no", "term", (F.col("tf") * F.coalesce("idf", idf_of(F.lit(1)))).alias("w"))
+    # Templates: a bounded table, so their terms' frequencies are one too.
     vectors = _vectors(spark, templates)
-    found = counts.where("unit_no = 0").join(F.broadcast(vectors.select("term").distinct()), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = vectors.select("term").distinct().join(F.broadcast(found), "term", "left")
-    idf = checkpointed(idf.select("term", (F.log((F.lit(1.0) + n_rows) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf")))
-    weighted = vectors.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    found = counts.join(F.broadcast(vectors.select("term").distinct()), "term").select("row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weighted = checkpointed(
+        vectors.join(F.broadcast(found), "term", "left").select("template", "licence", "term", (F.col("tf") * idf_of(F.coalesce("df", F.lit(0)))).alias("w"))
+    )
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     unit = weighted.join(F.broadcast(lengths), "template").select("term", "template", "licence", (F.col("w") / F.col("length")).alias("unit"))
-    if all_terms:
-        # Terms of one row, the most by far, need no table.
-        often = counts.where("unit_no = 0").groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-        known = written(often.select("term", (F.log((F.lit(1.0) + n_rows) / (1 + F.col("df"))) + 1).alias("idf")), "license-idf")
-        rarest = F.log((F.lit(1.0) + n_rows) / 2) + 1
-        if known.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-            known = F.broadcast(known)
-    else:
-        known, rarest = F.broadcast(idf), F.log(F.lit(1.0) + n_rows) + 1
-    mine = counts.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rarest))
     norms = mine.groupBy("row", "unit_no").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = mine.join(F.broadcast(unit), "term").groupBy("row", "unit_no", "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
     scored = dots.join(norms, ["row", "unit_no"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= min_cosine)
-    own = checkpointed(scored.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best")).select("row", (-F.col("best.minus")).alias("cosine"), F.col("best.licence").alias("licence")))
+    best = F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best")
+    own = checkpointed(scored.groupBy("row").agg(best).select("row", (-F.col("best.minus")).alias("cosine"), F.col("best.licence").alias("licence")))
 
     judged = slim.drop("units").join(own, "row", "left")
     in_dir = checkpointed(
-        judged.where("is_file and licence is not null and dir is not null").groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
-        .select(F.col("dir").alias("from_dir"), (-F.col("best.minus")).alias("dir_cosine"), F.col("best.licence").alias("dir_licence"))
+        judged.where("is_file and licence is not null and dir is not null").groupBy("dir").agg(best)
+        .select(F.col("dir").alias("from_dir"), F.xxhash64("dir").alias("digest"), (-F.col("best.minus")).alias("dir_cosine"), F.col("best.licence").alias("dir_licence"))
     )
-    # Distinct directories and their ancestors, nearest licence file first; the root is the empty path.
+    # Distinct directories and the digests of their ancestors, so that deep paths are not written out for each level; the join
+    # checks the path itself.  The root is the empty path; the longest ancestor counts.
     parts = F.split("dir", "/")
-    depth = F.when(F.col("dir") == "", F.lit(0)).otherwise(F.size(parts))
-    up_to = F.greatest(F.lit(0), depth - MAX_DEPTH)
-    ancestors = F.transform(F.sequence(up_to, depth), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("path")))
-    dirs = slim.where("dir is not null").select("dir").distinct().select("dir", F.explode(ancestors).alias("a")).select("dir", "a.depth", F.col("a.path").alias("from_dir"))
-    nearest = dirs.join(in_dir, "from_dir").groupBy("dir").agg(F.max_by(F.struct("from_dir", "dir_cosine", "dir_licence"), "depth").alias("near"))
+    levels = F.sequence(F.lit(0), F.when(F.col("dir") == "", F.lit(0)).otherwise(F.size(parts)))
+    ancestors = F.transform(levels, lambda n: F.xxhash64(F.array_join(F.slice(parts, F.lit(1), n), "/")))
+    dirs = slim.where("dir is not null").select("dir").distinct().select("dir", F.explode(ancestors).alias("digest"))
+    inside = (F.col("from_dir") == "") | (F.col("dir") == F.col("from_dir")) | F.startswith(F.col("dir"), F.concat(F.col("from_dir"), F.lit("/")))
+    above = dirs.join(in_dir, "digest").where(inside)
+    nearest = above.groupBy("dir").agg(F.max_by(F.struct("from_dir", "dir_cosine", "dir_licence"), F.length("from_dir")).alias("near"))
     # Many files to one directory: a hot directory is split by AQE's skew join.
     joined = judged.join(nearest, "dir", "left")
     mine_known, near_known = F.col("licence").isNotNull(), F.col("near").isNotNull()

@@ -1,7 +1,7 @@
 """Quality rules with verdicts on hosts: per-document rules, shrunk failure rates per host, joined back.
 
 Everything is built from DataFrame functions.  The rules look only inside a document, so texts are never shuffled for
-them; failures are counted per host with map-side partial sums, and only hosts with an adverse verdict are joined back.
+them; failures are counted per host with map-side partial sums, and the hosts' verdicts are joined back.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_CHARS, SPACE_CLASS, checkpointed, quoted, text_of, without, written
+from .shared import SPACE_CHARS, SPACE_CLASS, checkpointed, quoted, text_of, unused, without, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -18,12 +18,13 @@ MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT, MIN_WORD_CHARS, MAX_WORD_CHARS = 10, 5
 SYMBOLS = "#*$%&|<>"
 #: A host is rejected when its shrunk rate of failing documents reaches this.
 MAX_HOST_RATE = 0.5
-#: Adverse hosts up to this many are broadcast (a few MB); beyond it the join is shuffled, with skew handling by AQE.
+#: Hosts up to this many are broadcast (a few MB); beyond it the join is shuffled, and AQE splits a hot host.
 BROADCAST_HOSTS = 50_000
 #: Bounds of the strength (pseudo-documents) of the prior that the spread of the hosts' rates suggests.
 MIN_PRIOR, MAX_PRIOR = 2.0, 1000.0
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+RESULTS = (*METRICS, "base_failed", "rules_failed", "host_docs", "host_failed", "host_rate", "kept")
 
 
 def _without_chars(text: Column, chars: str) -> Column:
@@ -47,69 +48,67 @@ def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     lines and the mean word length.
     """
     text = text_of(F.col(quoted(text_col)))
-    docs = without(docs, *(m for m in (*METRICS, "base_failed", "rules_failed") if m != text_col))
-    names = [F.col(quoted(c)) for c in docs.columns]
+    names = without(docs, *RESULTS).columns
+    columns = [F.col(quoted(c)) for c in names]
+    word, line, n_lines, windows, in_order, marks = unused((*names, *RESULTS), "words", "lines", "n_lines", "windows", "in_order", "marks")
     words = F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     one = docs.select(
-        *names,
-        words.alias("__words"),
+        *columns,
+        words.alias(word),
         F.length(_without_chars(text, SPACE_CHARS)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without_chars(text, SYMBOLS))).cast("long").alias("n_symbols"),
-        lines.alias("__lines"),
+        lines.alias(line),
     )
     two = one.select(
-        *names,
-        F.size("__words").cast("long").alias("n_words"),
+        *columns,
+        F.size(word).cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.size("__lines").alias("__n_lines"),
-        _repeat_words(F.col("__words")).alias("__windows"),
+        (F.size(line) - F.size(F.array_distinct(line))).cast("long").alias("n_dup_lines"),
+        F.size(line).alias(n_lines),
+        _repeat_words(F.col(word)).alias(windows),
     )
     ordered = F.when(
-        F.size(F.array_distinct("__windows")) < F.size("__windows"),
-        F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        F.size(F.array_distinct(windows)) < F.size(windows),
+        F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-    three = two.withColumn("__sorted", ordered).drop("__windows")
-    pairs = F.zip_with(F.slice("__sorted", 1, F.greatest(F.size("__sorted") - 1, F.lit(0))), F.slice("__sorted", 2, F.greatest(F.size("__sorted") - 1, F.lit(0))), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-    marks = F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
-    four = three.withColumn("__marks", marks).drop("__sorted")
+    three = two.withColumn(in_order, ordered).drop(windows)
+    most = F.greatest(F.size(in_order) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(in_order, 1, most), F.slice(in_order, 2, most), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
+    four = three.withColumn(marks, F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))).drop(in_order)
     last = F.lit(-3)
     covered = F.aggregate(
-        "__marks",
+        marks,
         F.struct(F.lit(0).cast("long").alias("n"), last.alias("last")),
         lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n"), i.alias("last")),
         lambda acc: acc["n"],
     )
-    five = four.withColumn("n_repeat_words", covered).drop("__marks")
+    five = four.withColumn("n_repeat_words", covered).drop(marks)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     further = (
         (100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"))
-        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("__n_lines"))
+        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col(n_lines))
         | (F.col("word_chars") < MIN_WORD_CHARS * F.col("n_words"))
         | (F.col("word_chars") > MAX_WORD_CHARS * F.col("n_words"))
     )
-    return five.withColumn("base_failed", failed).withColumn("rules_failed", F.col("base_failed") | further).drop("__n_lines")
+    return five.withColumn("base_failed", failed).withColumn("rules_failed", F.col("base_failed") | further).drop(n_lines)
 
 
-def host_rates(measured: DataFrame, host_col: str, failed: str = "rules_failed") -> DataFrame:
-    """One row per host: documents ``n``, failing ones ``f``, and ``rate`` shrunk by an empirical beta prior.
+def host_rates(measured: DataFrame, host: str) -> DataFrame:
+    """One row per ``host``: ``host_docs``, of which ``host_failed`` break a rule, and ``host_rate`` shrunk by an empirical beta prior.
 
     The prior's mean is the rate over all documents.  Its strength comes from the method of moments: the spread of the
     hosts' rates beyond what counting alone explains.  Hosts are counted with map-side sums; five sums reach the driver.
     """
-    hosts = measured.groupBy(F.col(quoted(host_col)).alias("host")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("f")
-    )
+    hosts = measured.groupBy(host).agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col("rules_failed").cast("long")).alias("host_failed"))
     hosts = checkpointed(hosts)
-    n, f, k, ff_n, nn = hosts.agg(
-        F.sum("n"), F.sum("f"), F.count(F.lit(1)), F.sum(F.col("f") * F.col("f") / F.col("n")), F.sum(F.col("n") * F.col("n")).cast("double")
-    ).first()
+    docs, failed = F.col("host_docs"), F.col("host_failed")
+    n, f, k, ff_n, nn = hosts.agg(F.sum(docs), F.sum(failed), F.count(F.lit(1)), F.sum(failed * failed / docs), F.sum(docs * docs).cast("double")).first()
     if not n:
-        return hosts.withColumn("rate", F.lit(0.0))
+        return hosts.withColumn("host_rate", F.lit(0.0))
     mean, strength = beta_prior(n, f, k, ff_n, nn)
-    return hosts.withColumn("rate", (F.col("f") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
+    return hosts.withColumn("host_rate", (failed + F.lit(mean * strength)) / (docs + F.lit(strength)))
 
 
 def beta_prior(n: int, f: int, k: int, ff_n: float, nn: float) -> tuple[float, float]:
@@ -123,30 +122,27 @@ def beta_prior(n: int, f: int, k: int, ff_n: float, nn: float) -> tuple[float, f
     return mean, min(max(within / between - 1, MIN_PRIOR), MAX_PRIOR)
 
 
-def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_host_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] | None = None, further: bool = True) -> DataFrame:
-    """The columns ``carry`` (all) of ``docs`` plus the five measures, ``base_failed``, ``rules_failed``, ``adverse_host_rate`` and ``kept``.
-
-    Without ``further`` only the base rules count, for documents and hosts, and there is no ``rules_failed``.
+def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_host_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] | None = None, every_host: bool = True) -> DataFrame:
+    """The columns ``carry`` (all) of ``docs`` plus the five measures, ``base_failed``, ``rules_failed``, the host's verdict and ``kept``.
 
-    ``carry`` must hold the host column; the measured rows are written once in the shared folder, so leave out the text
-    where only the verdicts are wanted.
+    The host's verdict is ``host_docs``, ``host_failed`` and ``host_rate`` (``host_rates``); a host at ``max_host_rate`` or above is
+    rejected.  A document is kept if it passes the document rules and its host is not rejected.  The measured rows are written
+    once in the shared folder, so carry no text where only the verdicts are wanted.  Without ``every_host`` only rejected hosts,
+    which are few, are joined to the rows; those of others have null verdicts.
 
-    A document is kept if it passes the document rules and its host is not rejected.  A null text has no words and fails
-    (fewer than 50 words); a null host is a host of its own.  Repeated rows count and stay.  Input columns that are
-    named like a result are replaced.  An empty table gives no rows.
+    A null or empty text has no words and fails (fewer than 50 words), and texts of any length are measured as a whole; a
+    null host is a host of its own.  Repeated rows count and stay.  Input columns that are named like a result (in any case)
+    are replaced, also where one of them holds the text or the host.  An empty table gives no rows.
     """
-    docs = without(docs, *(c for c in ("kept", "adverse_host_rate") if c not in (host_col, text_col)))
-    measured = with_metrics(docs, text_col)
-    failed = "rules_failed" if further else "base_failed"
-    if carry is not None:
-        measured = measured.select(*map(quoted, dict.fromkeys((*carry, *METRICS, "base_failed", failed))))
-    elif not further:
-        measured = measured.drop("rules_failed")
-    measured = written(measured, "quality")
-    hosts = written(host_rates(measured, host_col, failed).select("host", F.col("rate").alias("host_rate")), "hosts")
-    adverse = hosts.where(F.col("host_rate") >= max_host_rate)
-    if adverse.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
-        adverse = F.broadcast(adverse)
-    columns = [F.col("d." + quoted(c)) for c in measured.columns]
-    joined = measured.alias("d").join(adverse.alias("h"), F.col("d." + quoted(host_col)).eqNullSafe(F.col("h.host")), "left")
-    return joined.select(*columns, F.col("h.host_rate").alias("adverse_host_rate"), (~F.col("d." + failed) & F.col("h.host_rate").isNull()).alias("kept"))
+    names = without(docs, *RESULTS).columns
+    names = names if carry is None else [c for c in names if c in carry]
+    host, theirs, given = unused((*names, *RESULTS), "host", "their_host", "given")
+    slim = docs.select(*[F.col(quoted(c)) for c in names], F.col(quoted(host_col)).alias(host), F.col(quoted(text_col)).alias(given))
+    measured = written(with_metrics(slim, given).drop(given), "quality")
+    hosts = written(host_rates(measured, host).withColumnRenamed(host, theirs), "hosts")
+    if not every_host:
+        hosts = hosts.where(F.col("host_rate") >= max_host_rate)
+    if hosts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
+        hosts = F.broadcast(hosts)
+    joined = measured.join(hosts, F.col(host).eqNullSafe(F.col(theirs)), "left").drop(host, theirs)
+    return joined.withColumn("kept", ~F.col("rules_failed") & F.coalesce(F.col("host_rate") < max_host_rate, F.lit(True)))

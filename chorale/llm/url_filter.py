@@ -1,32 +1,38 @@
 """URL filters on a sorted digest array.
 
 Entries are strings of a host and the start of a path (``org/``, ``example.org/es/``).  Their 64-bit xxhash keys lie
-sorted in one file, beside the full strings; executors fetch the file once each and their Python workers map it into
-memory.  A URL is probed with every host suffix and path start whose number of labels and length occur among the
-entries: one vectorised binary search for a batch, then the stored string decides, so equal digests do no harm.
+sorted in one file, the full strings and what they say in others; executors fetch the files once each and their Python
+workers map them into memory.  A URL is probed with every host suffix and path start whose number of labels and length occur
+together among the entries: one vectorised binary search for a batch, then the stored string decides, so equal digests do
+no harm.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import quoted, ship, without
+from .shared import quoted, shared_dir, ship, unused, without
 
 #: What an entry says: a rule's verdict beats the list's.
 RULE_ALLOW, RULE_BLOCK, LISTED = 0, 1, 2
-#: The entries are a parameter; a larger array file is refused.
-ARRAY_BYTES = 4 << 30
-_MAGIC = 0x7A11E57
+#: Of equal entries a rule beats the list, and block beats allow.
+STRENGTH = {LISTED: 0, RULE_ALLOW: 1, RULE_BLOCK: 2}
+#: Every executor's disk holds the files, so a larger list is refused.
+ARRAY_BYTES = 64 << 30
+#: The parts of an array: file ending and element type.
+PARTS = {"keys": np.uint64, "ends": np.int64, "kinds": np.uint8, "texts": np.uint8}
+#: Seed of the digests, which Spark's ``xxhash64`` has too.
+SEED = 42
+_CHUNK = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -41,58 +47,70 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 2)
 
 
-def _labels(host: str) -> int:
-    return host.count(".") + 1
+def digest_of(text: bytes) -> int:
+    return xxhash.xxh64_intdigest(text, SEED)
+
+
+def sorted_entries(spark: SparkSession, entries: Iterable[tuple[str, int]] | DataFrame) -> Iterator[tuple[str, int]]:
+    """Distinct entries by digest.  A table (entry, kind) of any size is sorted by Spark and comes one partition at a time."""
+    if isinstance(entries, DataFrame):
+        strength = F.create_map(*[F.lit(x) for pair in STRENGTH.items() for x in pair])
+        best = entries.groupBy(F.col("entry").cast("string").alias("entry")).agg(F.max_by("kind", strength[F.col("kind")]).alias("kind"))
+        yield from best.orderBy(F.xxhash64("entry").bitwiseXOR(F.lit(-(1 << 63))), "entry").toLocalIterator()
+        return
+    best: dict[str, int] = {}
+    for entry, kind in entries:
+        if entry not in best or STRENGTH[kind] > STRENGTH[best[entry]]:
+            best[entry] = kind
+    yield from sorted(best.items(), key=lambda e: (digest_of(e[0].encode()), e[0]))
 
 
 class DigestArray:
-    """Sorted 64-bit keys with their full strings, in one file that is mapped, not read."""
-
-    def __init__(self, path: str, digest=None):
-        head = np.memmap(path, np.int64, "r", shape=(6,))
-        magic, n, blob, n_labels, n_lengths, _ = map(int, head)
-        if magic != _MAGIC:
-            raise ValueError(f"{path} is no digest array")
-        at = 48
-
-        def part(kind, count):
-            nonlocal at
-            found = np.memmap(path, kind, "r", offset=at, shape=(count,)) if count else np.zeros(0, kind)
-            at += -(-np.dtype(kind).itemsize * count // 8) * 8
-            return found
-
-        self.keys, self.starts = part(np.uint64, n), part(np.int64, n + 1)
-        self.label_counts, self.path_lengths = part(np.int64, n_labels).tolist(), part(np.int64, n_lengths).tolist()
-        self.kinds, self.blob = part(np.uint8, n), part(np.uint8, blob)
-        self.digest = digest or xxhash.xxh64_intdigest
+    """Sorted 64-bit keys with their full strings, in files that are mapped, not read."""
+
+    def __init__(self, path_of: Callable[[str], str], shapes: list[tuple[int, int]], digest=digest_of):
+        """``path_of`` names the file of a part; ``shapes`` has the entries' pairs of host labels and path length, sorted."""
+        part = lambda name: np.memmap(path_of(name), PARTS[name], "r")
+        self.shapes, self.digest = shapes, digest
+        self.keys, self.ends, self.kinds, self.texts = map(part, PARTS) if shapes else (np.zeros(0, t) for t in PARTS.values())
 
     @staticmethod
-    def build(entries: Iterable[tuple[str, int]], path: str, digest=None) -> None:
-        """Write the array; of equal entries a rule beats the list and block beats allow."""
-        digest = digest or xxhash.xxh64_intdigest
-        best: dict[str, int] = {}
-        strength = {RULE_ALLOW: 1, RULE_BLOCK: 2, LISTED: 0}
-        for entry, kind in entries:
-            host, slash, rest = entry.partition("/")
-            if not slash:
-                raise ValueError(f"an entry needs a host and a path: {entry!r}")
-            if entry not in best or strength[kind] > strength[best[entry]]:
-                best[entry] = kind
-        texts = [e.encode() for e in best]
-        keys = np.array([digest(t) for t in texts], np.uint64)
-        order = np.argsort(keys, kind="stable")
-        texts = [texts[i] for i in order]
-        kinds = np.array(list(best.values()), np.uint8)[order]
-        starts = np.cumsum([0, *map(len, texts)], dtype=np.int64)
-        labels = np.array(sorted({_labels(e.partition("/")[0]) for e in best}), np.int64)
-        lengths = np.array(sorted({len(e) - e.index("/") for e in best}), np.int64)
-        if starts[-1] + 17 * len(texts) > ARRAY_BYTES:
-            raise ValueError(f"the digest array would be larger than {ARRAY_BYTES} bytes")
-        with open(path, "wb") as f:
-            f.write(np.array([_MAGIC, len(texts), starts[-1], len(labels), len(lengths), 0], np.int64).tobytes())
-            for part in (keys[order], starts, labels, lengths, kinds, np.frombuffer(b"".join(texts), np.uint8)):
-                raw = part.tobytes()
-                f.write(raw + b"\0" * (-len(raw) % 8))
+    def write(entries: Iterator[tuple[str, int]], open_part: Callable[[str], object], digest=digest_of) -> list[tuple[int, int]]:
+        """Write sorted entries to the files that ``open_part`` opens, in chunks; the shapes."""
+        shapes, size, rows = set(), 0, []
+        with ExitStack() as stack:
+            out = {name: stack.enter_context(open_part(name)) for name in PARTS}
+
+            def flush() -> None:
+                nonlocal size
+                raw = [e.encode() for e, _ in rows]
+                ends = size + np.cumsum([len(r) for r in raw], dtype=np.int64)
+                for name, values in zip(PARTS, (np.array([digest(r) for r in raw], np.uint64), ends, np.array([k for _, k in rows], np.uint8), np.frombuffer(b"".join(raw), np.uint8))):
+                    out[name].write(values.tobytes())
+                size = int(ends[-1])
+                rows.clear()
+
+            n = 0
+            for entry, kind in entries:
+                host, slash, rest = entry.partition("/")
+                if not slash:
+                    raise ValueError(f"an entry needs a host and a path: {entry!r}")
+                shapes.add((host.count(".") + 1, 1 + len(rest)))
+                rows.append((entry, kind))
+                n += 1
+                if len(rows) == _CHUNK:
+                    flush()
+                    if size + 17 * n > ARRAY_BYTES:
+                        raise ValueError(f"the digest array would be larger than {ARRAY_BYTES} bytes")
+            if rows:
+                flush()
+        return sorted(shapes)
+
+    def text(self, k: int) -> str:
+        return self._raw(k).decode()
+
+    def _raw(self, k: int) -> bytes:
+        return self.texts[self.ends[k - 1] if k else 0 : self.ends[k]].tobytes()
 
     def find(self, texts: list[bytes]) -> np.ndarray:
         """The position of each text, or -1: binary search by digest, then the stored string."""
@@ -107,7 +125,7 @@ class DigestArray:
             again = []
             for i in open_.tolist():
                 k = int(at[i])
-                if self.blob[self.starts[k] : self.starts[k + 1]].tobytes() == texts[i]:
+                if self._raw(k) == texts[i]:
                     found[i] = k
                 else:  # another string with this digest: look at the next
                     at[i] += 1
@@ -115,26 +133,20 @@ class DigestArray:
             open_ = np.array(again, np.int64)
         return found
 
-    def text(self, k: int) -> str:
-        return self.blob[self.starts[k] : self.starts[k + 1]].tobytes().decode()
-
     def judge(self, hosts: list[str], paths: list[str]) -> tuple[list[str | None], list[str]]:
         """The longest fitting rule (then the longer host) and the verdict of each URL."""
         rows, probes = [], []
+        most = max((labels for labels, _ in self.shapes), default=0)
         for i, (host, path) in enumerate(zip(hosts, paths)):
             if not path:
                 continue
-            labels = host.split(".") if len(host) < 4096 else host.rsplit(".", max(self.label_counts, default=0))
-            n = _labels(host)
-            for count in self.label_counts:
-                if count > n:
+            tail = host.rsplit(".", most)
+            for count, length in self.shapes:
+                if count > len(tail):
                     break
-                suffix = ".".join(labels[-count:])
-                for length in self.path_lengths:
-                    if length > len(path):
-                        break
+                if length <= len(path):
                     rows.append(i)
-                    probes.append((suffix + path[:length]).encode())
+                    probes.append((".".join(tail[-count:]) + path[:length]).encode())
         found = self.find(probes)
         rules: list[str | None] = [None] * len(hosts)
         verdicts = ["allow"] * len(hosts)
@@ -152,41 +164,58 @@ class DigestArray:
         return rules, verdicts
 
 
+class _SharedFile:
+    """A file to write on any file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+
+    def write(self, raw: bytes) -> None:
+        self.stream.write(bytearray(raw))
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.stream.close()
+
+
 _MAPPED: dict[str, DigestArray] = {}
 
 
-def _mapped(name: str) -> DigestArray:
+def _mapped(name: str, shapes: list[tuple[int, int]]) -> DigestArray:
     if name not in _MAPPED:
         _MAPPED.clear()
-        _MAPPED[name] = DigestArray(SparkFiles.get(name))
+        _MAPPED[name] = DigestArray(lambda part: SparkFiles.get(f"{name}.{part}"), shapes)
     return _MAPPED[name]
 
 
-def filter_urls(pages: DataFrame, entries: Iterable[tuple[str, int]], url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, entries: Iterable[tuple[str, int]] | DataFrame, url_col: str = "url") -> DataFrame:
     """All columns of ``pages`` plus ``host``, ``path``, ``rule`` (null if none fits) and ``verdict`` (allow or block).
 
-    The entries are a parameter, held to ``ARRAY_BYTES``.  An entry fits its host and all subdomains if the path of
-    the URL starts with the entry's.  The longest rule decides; without a rule a fitting list entry blocks, and all else is
-    allowed.  Null URLs and URLs without ``://`` have an empty host and path and are allowed.  Repeated rows stay.  Input
-    columns named host, path, rule or verdict (in any case) are replaced.  An empty table gives no rows.
+    The entries are pairs of a string and a kind, or a table (entry, kind) for lists that the driver cannot hold; their
+    files are written in the shared folder.  An entry fits its host and all subdomains if the path of the URL starts with the
+    entry's.  The longest rule decides (of equally long ones that with the longer host); without a rule a fitting list entry
+    blocks, and all else is allowed.  Null URLs and URLs without ``://`` have an empty host and path and are allowed; URLs may
+    have any length.  Repeated rows stay.  Input columns named host, path, rule or verdict (in any case) are replaced, also
+    where one of them holds the URL.  An empty table gives no rows.
     """
     spark = pages.sparkSession
     ship(spark)
     name = f"digests-{uuid.uuid4().hex}"
-    local = os.path.join(tempfile.mkdtemp(prefix="chorale-"), name)
-    DigestArray.build(entries, local)
-    spark.sparkContext.addFile(local)  # an executor that joins later fetches it too
+    at = f"{shared_dir(spark)}/{name}"
+    shapes = DigestArray.write(sorted_entries(spark, entries), lambda part: _SharedFile(spark, f"{at}.{part}"))
+    for part in PARTS if shapes else ():
+        spark.sparkContext.addFile(f"{at}.{part}")  # an executor that joins later fetches it too
 
     @F.arrow_udf("struct<rule: string, verdict: string>")
     def judge(host: pa.Array, path: pa.Array) -> pa.Array:
-        rules, verdicts = _mapped(name).judge(host.to_pylist(), path.to_pylist())
+        rules, verdicts = _mapped(name, shapes).judge(host.to_pylist(), path.to_pylist())
         return pa.StructArray.from_arrays([pa.array(rules, pa.string()), pa.array(verdicts, pa.string())], ["rule", "verdict"])
 
-    url = F.col(quoted(url_col))
-    kept = without(pages, "host", "path", "rule", "verdict")
-    if url_col not in kept.columns:
-        raise ValueError(f"the url column cannot be called {url_col}")
-    columns = [F.col(quoted(c)) for c in kept.columns]
-    parts = kept.select(*columns, url_host(url).alias("host"), url_path(url).alias("path"))
-    judged = parts.select("*", judge("host", "path").alias("__judged"))
-    return judged.select(*columns, "host", "path", F.col("__judged.rule").alias("rule"), F.col("__judged.verdict").alias("verdict"))
+    kept = without(pages, "host", "path", "rule", "verdict").columns
+    (judged,) = unused((*kept, "host", "path"), "judged")
+    url, columns = F.col(quoted(url_col)), [F.col(quoted(c)) for c in kept]
+    parts = pages.select(*columns, url_host(url).alias("host"), url_path(url).alias("path"))
+    return parts.select("*", judge("host", "path").alias(judged)).select(*columns, "host", "path", f"{judged}.rule", f"{judged}.verdict")

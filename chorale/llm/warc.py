@@ -1,7 +1,8 @@
 """Not-modified revisits of web captures: an as-of join to the latest earlier full response of the canonical URL.
 
-The join is one window over captures in time order.  URLs with very many captures are cut into time buckets at
-approximate quantiles; the last response of each bucket is carried into the following ones, so no URL has to fit in a task.
+Responses are first reduced to one for each URL and second, and revisits to the distinct seconds that are asked for, so no
+URL has more rows than seconds.  Time is cut into buckets of fixed length: a bucket of one URL has a bounded number of rows,
+and the last response of each bucket is carried into the following ones.  The answers then go back to all revisits.
 """
 
 from __future__ import annotations
@@ -9,16 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, quoted, without
+from .shared import quoted, without
 
 #: Header fields that a 304 response is to repeat (RFC 9110, 15.4.5); only these update the stored response.
 PERMITTED_HEADERS = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 #: Query parameters that do not change the page.
 TRACKING = r"^(?:utm_[a-z]+|ref|fbclid|gclid|sessionid)="
-#: Captures of one URL above which it is cut into buckets of about this size, and the most buckets.
-HOT_ROWS, MAX_BUCKETS = 200_000, 1_000
-#: Hot URLs up to this many are broadcast; more are joined by a shuffle.
-BROADCAST_URLS = 20_000
+#: Seconds of a time bucket: a bucket of a URL has at most two rows for each second.
+BUCKET_SECONDS = 200_000
 _RESULTS = ("canonical_url", "outcome", "response_id", "age", "merged_headers")
 
 
@@ -56,60 +55,45 @@ def merge_headers(stored: Column, update: Column) -> Column:
     return F.map_from_entries(F.concat(F.filter(_entries(stored), lambda e: ~F.array_contains(names, F.lower(e["key"]))), allowed))
 
 
-def resolve_revisits(captures: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def latest_before(responses: DataFrame, asked: DataFrame, bucket_seconds: int) -> DataFrame:
+    """``responses`` (key, at, found) and ``asked`` (key, at), one row for each pair, to (key, at, found): the latest strictly before."""
+    # Questions sort before a response of the same second, which is not earlier.
+    rows = asked.select("key", "at", F.lit(None).cast(responses.schema["found"].dataType).alias("found"), F.lit(0).alias("answers")).unionByName(
+        responses.withColumn("answers", F.lit(1))
+    )
+    rows = rows.withColumn("bucket", F.floor(F.col("at") / bucket_seconds))
+    inside = Window.partitionBy("key", "bucket").orderBy("at", "answers").rowsBetween(Window.unboundedPreceding, 0)
+    upto = rows.withColumn("near", F.last("found", ignorenulls=True).over(inside)).select("key", "bucket", "at", "answers", "near")
+    ends = upto.groupBy("key", "bucket").agg(F.max_by("near", F.struct("at", "answers")).alias("end"))
+    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("key", "bucket", F.last("end", ignorenulls=True).over(earlier).alias("far"))
+    return upto.where("answers = 0").join(carried, ["key", "bucket"]).select("key", "at", F.coalesce("near", "far").alias("found"))
+
+
+def resolve_revisits(captures: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """The revisit rows of ``captures`` plus canonical_url, outcome, response_id, age and merged_headers.
 
-    ``captures`` has record_id, url, captured_at (long), record_type (``response`` or ``revisit``), status and headers
-    (map of strings).  A full response has status 200.  The latest one strictly before the revisit counts (of equal
+    ``captures`` has record_id, url, captured_at (in whole seconds), record_type (``response`` or ``revisit``), status and
+    headers (map of strings).  A full response has status 200.  The latest one strictly before the revisit counts (of equal
     times the largest record_id).  Outcomes: ``resolved`` if the entity tags agree, or without both tags the
     Last-Modified fields; ``mismatch`` if those compared differ; ``unverified`` if there is nothing to compare;
     ``orphan`` without an earlier response, and for null URLs or times.  Only resolved rows have response_id, age and
-    headers.  Repeated rows stay.  Input columns named like a result (in any case) are replaced; others may be there.
-    An empty table gives no rows.
+    headers.  Repeated rows stay and agree.  URLs of any length are keys as a whole.  Input columns named like a result (in
+    any case) are replaced; others may be there.  An empty table gives no rows.
     """
     names = without(captures, *_RESULTS).columns
-    row = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
-    full = (F.col("record_type") == "response") & (F.col("status") == 200)
-    revisit = F.col("record_type") == "revisit"
-    slim = captures.where(full | revisit).select(
-        canonical_url(F.col("url")).alias("key"),
-        F.col("captured_at").cast("long").alias("at"),
-        F.when(full, F.struct(F.col("captured_at").cast("long").alias("at"), F.col("record_id").alias("id"), _entries(F.col("headers")).alias("headers"))).alias("response"),
-        F.when(revisit, row).alias("row"),
-    )
-    lone = (F.col("key").isNull() | F.col("at").isNull())
-    joinable = slim.where(~lone)
-    hot = checkpointed(joinable.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows))
-    n_hot = hot.limit(BROADCAST_URLS + 1).count()
-    if not n_hot:
-        keyed = joinable.withColumn("bucket", F.lit(0))
-    else:
-        few = n_hot <= BROADCAST_URLS
-        marked = joinable.select("key", "at").join(F.broadcast(hot) if few else hot, "key", "left_semi")
-        steps = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-        cuts = marked.groupBy("key").agg(F.percentile_approx("at", steps, 10_000).alias("cuts"), F.count(F.lit(1)).alias("n"))
-        # Every so many cuts that a bucket has about hot_rows captures.
-        every = F.greatest(F.lit(1), F.floor(F.lit(MAX_BUCKETS) * hot_rows / F.col("n"))).cast("int")
-        cuts = checkpointed(cuts.select("key", F.array_distinct(F.filter("cuts", lambda c, i: i % every == 0)).alias("cuts")))
-        keyed = joinable.join(F.broadcast(cuts) if few else cuts, "key", "left")
-        keyed = keyed.withColumn("bucket", F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("at"))), F.lit(0))).drop("cuts")
-    # Revisits come before responses of the same time, so that only earlier responses are seen.
-    order = [F.col("at"), F.col("row").isNull(), F.col("response.id")]
-    before = Window.partitionBy("key", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    seen = keyed.withColumn("found", F.last("response", ignorenulls=True).over(before)).where(F.col("row").isNotNull())
-    if n_hot:
-        ends = keyed.where("response is not null").join(F.broadcast(hot) if few else hot, "key", "left_semi")
-        ends = ends.groupBy("key", "bucket").agg(F.max_by("response", F.struct("response.at", "response.id")).alias("last"))
-        # At most MAX_BUCKETS rows for each hot URL; each row says from which bucket on it is the latest, up to the next.
-        following = Window.partitionBy("key").orderBy("bucket")
-        carried = checkpointed(ends.select("key", F.col("bucket").alias("since"), F.lead("bucket").over(following).alias("until"), "last"))
-        each = carried.select("key", F.explode(F.sequence(F.col("since") + 1, F.coalesce("until", F.lit(MAX_BUCKETS)))).alias("bucket"), "last")
-        seen = seen.join(each, ["key", "bucket"], "left").withColumn("found", F.coalesce("found", "last"))
-    result = seen.select("row", "key", "at", "found").unionByName(
-        slim.where(lone & F.col("row").isNotNull()).select("row", "key", "at", F.lit(None).cast(seen.schema["found"].dataType).alias("found"))
-    )
-    position = {c.lower(): i for i, c in enumerate(names)}
-    mine, theirs = F.col(f"row.c{position['headers']}"), F.map_from_entries("found.headers")
+    at = {c.lower(): F.col(f"c{i}") for i, c in enumerate(names)}
+    numbered = captures.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
+    keyed = numbered.select("*", canonical_url(at["url"]).alias("key"), at["captured_at"].cast("long").alias("at"))
+    joinable = keyed.where("key is not null and at is not null")
+    full, revisit = (at["record_type"] == "response") & (at["status"] == 200), at["record_type"] == "revisit"
+    found = F.struct(F.col("at"), at["record_id"].alias("id"), _entries(at["headers"]).alias("headers"))
+    # A null id sorts below all others, also where max_by would leave it out.
+    responses = joinable.where(full).groupBy("key", "at").agg(F.max_by(found, F.struct(at["record_id"])).alias("found"))
+    answers = latest_before(responses, joinable.where(revisit).select("key", "at").distinct(), bucket_seconds)
+    # Many revisits to one answer: a hot second of a hot URL is split by AQE's skew join.
+    judged = keyed.where(revisit).join(answers, ["key", "at"], "left")
+    mine, theirs = at["headers"], F.map_from_entries("found.headers")
     tags, dates = (_tag(mine), _tag(theirs)), (_header(mine, "last-modified"), _header(theirs, "last-modified"))
     outcome = (
         F.when(F.col("found").isNull(), "orphan")
@@ -117,10 +101,10 @@ def resolve_revisits(captures: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
         .when(dates[0].isNotNull() & dates[1].isNotNull(), F.when(dates[0] == dates[1], "resolved").otherwise("mismatch"))
         .otherwise("unverified")
     )
-    judged = result.withColumn("outcome", outcome)
+    judged = judged.withColumn("outcome", outcome)
     resolved = F.col("outcome") == "resolved"
     return judged.select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)],
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
         F.col("key").alias("canonical_url"),
         "outcome",
         F.when(resolved, F.col("found.id")).alias("response_id"),
