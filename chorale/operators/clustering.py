@@ -1,7 +1,8 @@
 """Clustering of the vectors of one recording at a time, with numpy, inside ``applyInPandas``.
 
 Recordings are independent, so they run in parallel; inside one, distances are matrix products, and merging keeps
-running sums of members in place of recomputed centroids.
+running sums of members in place of recomputed centroids.  The spectral method holds a recording's affinity and is held to
+``MAX_VECTORS``; the agglomerative one holds the vectors only.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from ..shipping import ship
 EPS = 1e-10
 #: The value of the affinity subsampling, and the share of rows and number of tries in the search for p.
 SAMPLE_SIZE, MAX_SHARE, SEARCH_VOLUME = 512, 0.25, 30
-#: Vectors of one recording whose distances fit a task: 20,000 take 3.2 GB.
+#: Vectors of one recording whose affinity fits a task: the spectral method holds it, and 20,000 take 3.2 GB.
 MAX_VECTORS = 20_000
+#: Rows of distances that agglomeration makes at once.
+_BLOCK = 512
 
 
 def cosine_distances(x: np.ndarray) -> np.ndarray:
@@ -31,21 +34,43 @@ def cosine_distances(x: np.ndarray) -> np.ndarray:
     return d
 
 
+def _nan_last(values: np.ndarray) -> np.ndarray:
+    """NaN never wins: it counts as the largest."""
+    return np.where(np.isnan(values), np.inf, values)
+
+
 def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
     """Centroid linkage by cosine distance: the closest pair (first of ties) merges while within the threshold.
 
-    A cluster's direction is that of its members' sum, so a merge updates one row of the distances.  Labels number clusters
-    by their smallest member.
+    A cluster's direction is that of its members' sum.  Of the distances only each cluster's nearest later one is kept, so memory
+    grows with the vectors and not with their pairs; a row is computed again where a merge may have changed it.  A distance
+    that is no number never wins, so the other vectors still merge.  Labels number clusters by their smallest member.
     """
     n = len(x)
     if n <= 1:
         return np.zeros(n, int)
-    sums, first = x.astype(float).copy(), np.arange(n)
-    d = cosine_distances(sums)
-    d[np.tril_indices(n)] = np.inf  # only pairs i < j
-    owner = np.arange(n)
-    nearest = d.argmin(1)
-    closest = d[np.arange(n), nearest]
+    sums = x.astype(float).copy()
+    lengths = np.linalg.norm(sums, axis=1)
+    alive = np.ones(n, bool)
+    owner, nearest, closest = np.arange(n), np.zeros(n, int), np.full(n, np.inf)
+
+    def distances(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        dots, norms = sums[rows] @ sums[columns].T, lengths[rows][:, None] * lengths[columns][None]
+        return _nan_last(np.where(norms <= 0, 1.0, 1.0 - dots / np.where(norms > 0, norms, 1.0)))
+
+    def refresh(rows: np.ndarray) -> None:
+        for at in range(0, len(rows), _BLOCK):
+            part = rows[at : at + _BLOCK]
+            later = np.flatnonzero(alive)
+            later = later[later > part[0]]
+            if not len(later):
+                closest[part] = np.inf
+                continue
+            d = np.where(later[None] > part[:, None], distances(part, later), np.inf)
+            best = d.argmin(1)
+            nearest[part], closest[part] = later[best], d[np.arange(len(part)), best]
+
+    refresh(np.arange(n))
     while True:
         i = int(closest.argmin())
         if not closest[i] <= threshold:
@@ -53,19 +78,17 @@ def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
         j = int(nearest[i])
         owner[owner == j] = i
         sums[i] += sums[j]
-        d[j], d[:, j], closest[j] = np.inf, np.inf, np.inf
-        first[j] = -1
-        alive = np.flatnonzero(first >= 0)
-        lengths = np.linalg.norm(sums[alive], axis=1) * np.linalg.norm(sums[i])
-        dots = sums[alive] @ sums[i]
-        new = np.where(lengths > 0, 1.0 - dots / np.where(lengths > 0, lengths, 1.0), 1.0)
-        below, above = alive < i, alive > i
-        d[alive[below], i], d[i, alive[above]] = new[below], new[above]
-        stale = [i, *np.flatnonzero((nearest == i) | (nearest == j)), *alive[below]]
-        for r in set(stale):
-            if first[r] >= 0:
-                nearest[r] = d[r].argmin()
-                closest[r] = d[r, nearest[r]]
+        lengths[i] = np.linalg.norm(sums[i])
+        alive[j], closest[j] = False, np.inf
+        stale = alive & ((nearest == i) | (nearest == j)) & np.isfinite(closest)
+        stale[i] = True
+        refresh(np.flatnonzero(stale))
+        # Rows before i may have become closer to it.
+        before = np.flatnonzero(alive[:i] & ~stale[:i])
+        if len(before):
+            d = distances(before, np.array([i]))[:, 0]
+            won = (d < closest[before]) | ((d == closest[before]) & np.isfinite(d) & (i < nearest[before]))
+            nearest[before[won]], closest[before[won]] = i, d[won]
     return np.unique(owner, return_inverse=True)[1]
 
 
@@ -76,8 +99,8 @@ def affinity_of(x: np.ndarray) -> np.ndarray:
     u = x / (np.linalg.norm(x, axis=1, keepdims=True) + EPS)
     w = u @ u.T
     np.fill_diagonal(w, 1.0)
-    span = w.max() - w.min()
-    return np.ones((n, n)) if span < 1e-12 else (w - w.min()) / span
+    low, span = np.nanmin(w), np.nanmax(w) - np.nanmin(w)
+    return np.ones((n, n)) if span < 1e-12 else (w - low) / span
 
 
 def graph_of(w: np.ndarray, p: int) -> np.ndarray:
@@ -96,7 +119,7 @@ def speaker_count(graph: np.ndarray, most: int) -> tuple[int, np.ndarray, np.nda
     """Number of clusters by the largest eigengap (first of ties), the eigenvalues and their gaps."""
     values = np.linalg.eigvalsh(laplacian_of(graph))
     gaps = np.diff(values)
-    return (int(gaps[:most].argmax()) + 1 if len(gaps[:most]) else 1), values, gaps
+    return (int(_nan_last(-gaps[:most]).argmin()) + 1 if len(gaps[:most]) else 1), values, gaps
 
 
 def connected(graph: np.ndarray) -> bool:
@@ -143,7 +166,7 @@ def estimate(w: np.ndarray, max_speakers: int = 8, share: float = MAX_SHARE, vol
         widest = gaps[:max_speakers].max() if len(gaps) else 0.0
         ratios.append((p / n) / (widest / (values.max() + EPS) + EPS))
         counts.append(k)
-    at = int(np.argmin(ratios))
+    at = int(np.argmin(_nan_last(np.array(ratios))))
     p = candidates[at]
     if not connected(graph_of(w, p)):
         p = first_connected_after(w, candidates)
@@ -192,35 +215,42 @@ def silhouette_of(x: np.ndarray, labels: np.ndarray) -> float:
     d = cosine_distances(x)
     np.fill_diagonal(d, 0.0)
     members = np.eye(len(names))[own]
-    sums, sizes = d @ members, members.sum(0)
+    # A sum over members of which one distance is no number is none; a product with zeros would spread it to all clusters.
+    bad, sizes = np.isnan(d), members.sum(0)
+    sums = np.where(bad @ members > 0, np.nan, np.where(bad, 0.0, d) @ members)
     at = np.arange(len(x))
     inner = np.where(sizes[own] > 1, sums[at, own] / np.maximum(sizes[own] - 1, 1), 0.0)
     outer = sums / sizes
     outer[at, own] = np.inf
-    nearest = outer.min(1)
+    nearest = _nan_last(outer).min(1)
+    nearest = np.where(np.isinf(nearest), 0.0, nearest)
     with np.errstate(invalid="ignore", divide="ignore"):
         return float(((nearest - inner) / np.maximum(nearest, inner)).mean())
 
 
 def search_threshold(x: np.ndarray, low: float = 0.10, high: float = 0.50, step: float = 0.02, penalty: float = 0.05) -> tuple[np.ndarray, float, float]:
-    """Labels, threshold and score of the best silhouette less a penalty per cluster, over evenly spaced thresholds."""
+    """Labels, threshold and score of the best silhouette less a penalty per cluster, over evenly spaced thresholds.
+
+    A score that is no number never wins; without any other the result is that of the lowest threshold, scored minus infinity.
+    """
     if len(x) <= 1:
         return agglomerate(x, high), high, 0.0
-    best = None
+    best = None, low, -np.inf
     for i in range(int(round((high - low) / step)) + 1):
         threshold = low + i * step
         labels = agglomerate(x, threshold)
         score = silhouette_of(x, labels) - penalty * len(set(labels.tolist()))
-        if best is None or score > best[2]:
+        if score > best[2]:
             best = labels, threshold, score
-    return best
+    return best if best[0] is not None else (agglomerate(x, low), low, -np.inf)
 
 
-def _per_recording(vectors: DataFrame, key: str, idx: str, vec: str, schema: str, work) -> DataFrame:
+def _per_recording(vectors: DataFrame, key: str, idx: str, vec: str, schema: str, work, bounded: bool = True) -> DataFrame:
+    """``work`` on each recording's rows in order; ``bounded`` where it holds all pairs at once."""
     ship(vectors.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_VECTORS:
+        if bounded and len(pdf) > MAX_VECTORS:
             raise ValueError(f"{pdf[key].iloc[0]} has more than {MAX_VECTORS} vectors")
         pdf = pdf.sort_values(idx, kind="stable")
         return work(pdf, np.array(pdf[vec].tolist(), float))
@@ -244,7 +274,7 @@ def cluster_labels(vectors: DataFrame, key: str = "recording_id", idx: str = "su
             labels = spectral_labels(graph_of(w, p), k)
         return pd.DataFrame({key: pdf[key], idx: pdf[idx], "label": labels})
 
-    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int", work)
+    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int", work, method != "agglomerative")
 
 
 def speaker_estimates(vectors: DataFrame, key: str = "recording_id", idx: str = "sub_idx", vec: str = "vec", max_speakers: int = 8) -> DataFrame:

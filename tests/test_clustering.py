@@ -97,3 +97,38 @@ def test_per_recording(spark):
     assert {r["n_speakers"] for r in c.speaker_estimates(df).collect()} == {3}
     assert c.threshold_searches(df).count() == 60
     assert c.cluster_labels(df.limit(0)).count() == 0
+
+
+def plain_search(x):
+    """As a search should go that never takes a score that is no number."""
+    best = None, 0.1, -np.inf
+    for i in range(21):
+        t = 0.1 + i * 0.02
+        labels = c.agglomerate(x, t)
+        score = c.silhouette_of(x, labels) - 0.05 * len(set(labels.tolist()))
+        if score > best[2]:
+            best = labels, t, score
+    return best
+
+
+def test_no_number_never_wins():
+    pairs = np.array([[1, 0, 0], [1, 0.05, 0], [0, 1, 0], [0, 1, 0.05]], float)
+    assert c.agglomerate(pairs).tolist() == [0, 0, 1, 1]
+    for at in range(5):
+        x = np.insert(pairs, at, np.nan, axis=0)
+        expected = np.insert(np.array([0, 0, 1, 1]) + 0, at, 9)
+        assert same_partition(c.agglomerate(x).tolist(), expected.tolist())
+        labels, threshold, score = c.search_threshold(x)
+        assert threshold == 0.1 and score == -np.inf and same_partition(labels.tolist(), expected.tolist())
+    w = c.affinity_of(np.insert(pairs, 2, np.nan, axis=0))
+    assert np.isfinite(np.delete(np.delete(w, 2, 0), 2, 1)).all() and c.estimate(w)[1] >= 1
+    x, _ = planted(3, 9)
+    labels, threshold, score = c.search_threshold(x)
+    plain = plain_search(x)
+    assert labels.tolist() == plain[0].tolist() and (threshold, score) == plain[1:]
+
+
+def test_many_vectors_are_agglomerated_without_their_pairs(monkeypatch):
+    monkeypatch.setattr(c, "_BLOCK", 7)
+    x = np.random.default_rng(3).normal(size=(60, 4))
+    assert c.agglomerate(x, 0.5).tolist() == plain_agglomerate(x, 0.5).tolist()
