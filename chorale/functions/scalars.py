@@ -21,19 +21,12 @@ FACE_COLUMNS = {
 MOUTH_WEIGHTS = {"au25": 0.45, "au26": 0.35, "au10": 0.15, "au12": 0.05}
 
 
-def resolve_column(columns: Sequence[str], candidates: Sequence[str]) -> str:
-    """The column that a candidate names: first by trimmed name, then ignoring case; else an error."""
-    trimmed = [c.strip() for c in columns]
-    if len(set(trimmed)) < len(trimmed):
-        raise ValueError(f"duplicate headers: {sorted(c for c in set(trimmed) if trimmed.count(c) > 1)}")
-    for name in candidates:
-        if name in trimmed:
-            return columns[trimmed.index(name)]
-    lowered = [c.lower() for c in columns]
-    for name in candidates:
-        if name.lower() in lowered:
-            return columns[lowered.index(name.lower())]
-    raise ValueError(f"no column called {' or '.join(candidates)}")
+def resolved_column(headers: Column, candidates: Sequence[str]) -> Column:
+    """The header (of an array of them) that a candidate names: first by trimmed name, then ignoring case; else an error."""
+    pick = lambda name, fit: F.get(F.filter(headers, lambda h: fit(h) == name), F.lit(0))
+    exact = [pick(name, F.trim) for name in candidates]
+    loose = [pick(name.lower(), F.lower) for name in candidates]
+    return F.coalesce(*exact, *loose, F.raise_error(F.lit(f"no column called {' or '.join(candidates)}")).cast("string"))
 
 
 def lenient_float(text: Column) -> Column:
@@ -43,8 +36,8 @@ def lenient_float(text: Column) -> Column:
 
 
 def clock_seconds(text: Column) -> Column:
-    """``H:M:S.fff`` in seconds (float); the fraction is a whole number of milliseconds, so it must have three digits."""
-    pattern = r"^\s*([0-9]+):([0-9]+):([0-9]+)[.]([0-9]{3})\s*$"
+    """``H:M:S.fff`` in seconds (float); what follows the point is a whole number of milliseconds, however many digits it has."""
+    pattern = r"^\s*([0-9]+):([0-9]+):([0-9]+)[.]([0-9]+)\s*$"
     part = lambda n: F.regexp_extract(text, pattern, n).cast("double")
     seconds = part(1) * 3600.0 + part(2) * 60.0 + part(3) + part(4) / 1000.0
     return F.when(text.rlike(pattern), seconds).otherwise(F.raise_error(F.concat(F.lit("no time of the form H:M:S.fff: "), text))).cast("float")
@@ -90,13 +83,19 @@ def speaker_label(label: Column) -> Column:
     return F.concat(F.lit("speaker_"), label.cast("string"))
 
 
-def dot(a: Column, b: Column) -> Column:
+def dot(a: Column, b: Column, size: int | None = None) -> Column:
+    """The inner product; of arrays of a known size as a compiled sum, of others by a fold."""
+    if size is not None:
+        return sum((F.get(a, i).cast("double") * F.get(b, i).cast("double") for i in map(F.lit, range(size))), F.lit(0.0))
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def unit_vector(v: Column) -> Column:
-    length = F.sqrt(dot(v, v)) + 1e-10
-    return F.transform(v, lambda x: x.cast("double") / length)
+def unit_vector(v: Column, eps: float = 1e-10) -> Column:
+    """The vector over its length plus ``eps``; without ``eps`` a vector without length stays as it is."""
+    length = F.sqrt(dot(v, v))
+    # In an array of one, the length is found once and not for every element.
+    divisor = length + eps if eps else F.when(length == 0, F.lit(1.0)).otherwise(length)
+    return F.get(F.transform(F.array(divisor), lambda n: F.transform(v, lambda x: x.cast("double") / n)), F.lit(0))
 
 
 def cosine_distance(a: Column, b: Column) -> Column:

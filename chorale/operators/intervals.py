@@ -35,3 +35,17 @@ def oscillation_rate(pairs: DataFrame, by: list[str], value: str, order: list[st
     steps = pairs.withColumn("__step", F.abs(F.col(value) - F.lag(value).over(window)).cast("double"))
     rate = F.coalesce(F.sum("__step"), F.lit(0.0)) / F.greatest(F.max(duration), F.lit(1e-6))
     return steps.groupBy(*by).agg(F.when(F.count(value) > 2, rate).otherwise(F.lit(0.0)).alias("rate"))
+
+
+def interval_profile(pairs: DataFrame, by: list[str], value: str, flag: str, order: list[str], duration: str) -> DataFrame:
+    """``interval_stats`` of the value (spd_mean, spd_std) and the mean of the flag (open_mean), and its ``oscillation_rate`` (rate), in one pass."""
+    window = Window.partitionBy(*by).orderBy(*order)
+    stepped = pairs.withColumn("__step", F.abs(F.col(flag) - F.lag(flag).over(window)).cast("double"))
+    zero = F.lit(0.0)
+    enough = lambda c: F.count(c) >= 3
+    return stepped.groupBy(*by).agg(
+        F.when(enough(value), F.avg(F.col(value).cast("double"))).otherwise(zero).alias("spd_mean"),
+        F.when(enough(value), F.stddev_pop(F.col(value).cast("double"))).otherwise(zero).alias("spd_std"),
+        F.when(enough(flag), F.avg(F.col(flag).cast("double"))).otherwise(zero).alias("open_mean"),
+        F.when(enough(flag), F.coalesce(F.sum("__step"), zero) / F.greatest(F.max(duration), F.lit(1e-6))).otherwise(zero).alias("rate"),
+    )

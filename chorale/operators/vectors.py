@@ -1,7 +1,7 @@
 """Vector algebra in DataFrame form: means, affinities, neighbour graphs, degrees, silhouettes.
 
-Pairs exist only inside a recording (``keys``), never across the table; recordings with many vectors take the numpy
-kernels of ``clustering``, which see one recording at a time.
+Pairs exist only inside a recording (``keys``), never across the table, and one recording's pairs are made in several tasks.
+What needs no pairs (means, silhouettes) goes through sums of vectors.
 """
 
 from __future__ import annotations
@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import cosine_distance, dot, unit_vector
+from ..functions.scalars import dot, unit_vector
+
+#: Tasks that make the pairs of one recording: each takes a part of the rows and all columns.
+PARTS = 8
 
 
 def vector_mean(vectors: DataFrame, by: list[str], vec: str = "vec", weight: str | None = None) -> DataFrame:
@@ -33,18 +36,24 @@ def feature_norm(vectors: DataFrame, by: list[str], idx: str, vec: str = "vec")
 
 
 def _pairs(vectors: DataFrame, keys: list[str], idx: str, vec: str) -> DataFrame:
-    left = vectors.select(*keys, F.col(idx).alias("i"), F.col(vec).alias("__a"))
-    right = vectors.select(*keys, F.col(idx).alias("j"), F.col(vec).alias("__b"))
-    return left.join(right, keys)
+    left = vectors.select(*keys, F.pmod(F.xxhash64(idx), F.lit(PARTS)).alias("__part"), F.col(idx).alias("i"), F.col(vec).alias("__a"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))
+    right = vectors.select(*keys, F.col(idx).alias("j"), F.col(vec).alias("__b")).withColumn("__part", every)
+    return left.join(right, [*keys, "__part"])
+
 
+def cosine_affinity(vectors: DataFrame, keys: list[str], idx: str = "sub_idx", vec: str = "vec", size: int | None = None) -> DataFrame:
+    """(keys, i, j, w): cosines with ones on the diagonal, scaled to 0..1 per recording; a range under 1e-12 gives ones.
 
-def cosine_affinity(vectors: DataFrame, keys: list[str], idx: str = "sub_idx", vec: str = "vec") -> DataFrame:
-    """(keys, i, j, w): cosines with ones on the diagonal, scaled to 0..1 per recording; a range under 1e-12 gives ones."""
+    ``size`` is the vectors' length where it is known: then the products are compiled.  Least and greatest cosine are sums that
+    every task makes of its own pairs.
+    """
     units = vectors.select(*keys, idx, unit_vector(F.col(vec)).alias("__u"))
-    raw = _pairs(units, keys, idx, "__u").select(*keys, "i", "j", F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(dot(F.col("__a"), F.col("__b"))).alias("w"))
-    whole = Window.partitionBy(*keys)
-    low, span = F.min("w").over(whole), F.max("w").over(whole) - F.min("w").over(whole)
-    return raw.select(*keys, "i", "j", F.when(span < 1e-12, F.lit(1.0)).otherwise((F.col("w") - low) / span).alias("w"))
+    cosine = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(dot(F.col("__a"), F.col("__b"), size))
+    raw = _pairs(units, keys, idx, "__u").select(*keys, "i", "j", cosine.alias("w"))
+    spans = raw.groupBy(*keys).agg(F.min("w").alias("__low"), (F.max("w") - F.min("w")).alias("__span"))
+    scaled = F.when(F.col("__span") < 1e-12, F.lit(1.0)).otherwise((F.col("w") - F.col("__low")) / F.col("__span"))
+    return raw.join(spans, keys).select(*keys, "i", "j", scaled.alias("w"))
 
 
 def nearest(affinity: DataFrame, keys: list[str], p: int) -> DataFrame:
@@ -75,16 +84,17 @@ def silhouette(vectors: DataFrame, keys: list[str], idx: str, label: str, vec: s
     """Mean silhouette by cosine distance per recording: (keys, k, silhouette).
 
     One cluster gives -1.  A single member has inner distance 0.  Where both distances are 0 the score is undefined (null).
+    The mean distance of a unit vector u to a cluster of n with the sum S of units is 1 - u S / n, so there are no pairs.
     """
-    labelled = vectors.select(*keys, idx, label, vec)
-    left = labelled.select(*keys, F.col(idx).alias("i"), F.col(label).alias("own"), F.col(vec).alias("__a"))
-    right = labelled.select(*keys, F.col(idx).alias("j"), F.col(label).alias("other"), F.col(vec).alias("__b"))
-    distance = F.when(F.col("i") != F.col("j"), cosine_distance(F.col("__a"), F.col("__b")))
-    means = left.join(right, keys).groupBy(*keys, "i", "own", "other").agg(F.avg(distance).alias("d"))
-    each = means.groupBy(*keys, "i").agg(
-        F.coalesce(F.max(F.when(F.col("own") == F.col("other"), F.col("d"))), F.lit(0.0)).alias("a"),
-        F.coalesce(F.min(F.when(F.col("own") != F.col("other"), F.col("d"))), F.lit(0.0)).alias("b"),
-        F.first("own").alias("own"),
+    units = vectors.select(*keys, F.col(idx).alias("i"), F.col(label).alias("own"), unit_vector(F.col(vec), 0.0).alias("u"))
+    sums = units.select(*keys, "own", F.posexplode("u").alias("pos", "x")).groupBy(*keys, "own", "pos").agg(F.sum("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    clusters = sums.groupBy(*keys, F.col("own").alias("other")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("sum"), F.max("n").alias("n")
+    )
+    same, along = F.col("own") == F.col("other"), dot(F.col("u"), F.col("sum"))
+    inner = F.when(F.col("n") > 1, 1 - (along - dot(F.col("u"), F.col("u"))) / (F.col("n") - 1)).otherwise(F.lit(0.0))
+    each = units.join(clusters, keys).groupBy(*keys, "i").agg(
+        F.max(F.when(same, inner)).alias("a"), F.coalesce(F.min(F.when(~same, 1 - along / F.col("n"))), F.lit(0.0)).alias("b"), F.first("own").alias("own")
     )
     score = F.when(F.greatest("a", "b") != 0, (F.col("b") - F.col("a")) / F.greatest("a", "b"))
     total = each.groupBy(*keys).agg(F.countDistinct("own").alias("k"), F.when(F.bool_and(score.isNotNull()), F.avg(score)).alias("__mean"))

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ExtractOptions
-from ..functions.scalars import FACE_COLUMNS, clock_seconds, lenient_float, mouth_flag, mouth_score, resolve_column
+from ..functions.scalars import FACE_COLUMNS, clock_seconds, lenient_float, mouth_flag, mouth_score, resolved_column
 from ..operators.ordered import number_blocks, split_at_resets
 from ..sources.tables import read_workbook
 
 
-def face_frames(rows: DataFrame, headers: list[str]) -> DataFrame:
-    """Workbook rows (recording_id, row_idx, cells) as typed frames; rows without a time are dropped."""
-    cell = {k: F.coalesce(F.try_element_at("cells", F.lit(resolve_column(headers, names))), F.lit("")) for k, names in FACE_COLUMNS.items()}
+def face_frames(rows: DataFrame) -> DataFrame:
+    """Workbook rows (recording_id, row_idx, cells) as typed frames; rows without a time are dropped.
+
+    Each row's headers say which column is meant, so workbooks with different headers can be read together.
+    """
+    headers = F.map_keys("cells")
+    cell = {k: F.coalesce(F.try_element_at("cells", resolved_column(headers, names)), F.lit("")) for k, names in FACE_COLUMNS.items()}
     units = {k: lenient_float(cell[k]).alias(k) for k in ("au10", "au12", "au25", "au26")}
     typed = rows.where(F.trim(cell["time"]) != "").select(
         "recording_id", "row_idx", clock_seconds(cell["time"]).alias("time_sec"), lenient_float(cell["quality"]).alias("quality"),
@@ -37,7 +41,5 @@ def participants_summary(blocks: DataFrame, keys: list[str] = ["recording_id"])
 
 def extract(spark: SparkSession, path: str, options: ExtractOptions = ExtractOptions()) -> tuple[DataFrame, DataFrame]:
     """Participant blocks and their summary of the workbooks at a path."""
-    rows = read_workbook(spark, path, options.sheet)
-    headers = sorted(r[0] for r in rows.select(F.explode(F.map_keys("cells"))).distinct().collect())  # one row per header
-    blocks = participant_blocks(face_frames(rows, headers), options)
+    blocks = participant_blocks(face_frames(read_workbook(spark, path, options.sheet)), options)
     return blocks, participants_summary(blocks)

@@ -22,12 +22,12 @@ def test_parsing(spark):
     with pytest.raises(Exception, match="H:M:S"):
         one(spark, scalars.clock_seconds(F.lit("3 s")))
     assert one(spark, scalars.mouth_flag(F.lit(" Open"))) == 1
-    assert scalars.resolve_column([" Quality ", "AU10"], ("Quality",)) == " Quality "
-    assert scalars.resolve_column(["quality"], ("Quality",)) == "quality"
-    with pytest.raises(ValueError):
-        scalars.resolve_column(["a", "a "], ("a",))
-    with pytest.raises(ValueError):
-        scalars.resolve_column(["b"], ("a",))
+    assert one(spark, scalars.clock_seconds(F.lit(" 0:00:02.5 "))) == pytest.approx(2.005)
+    resolved = lambda headers, *names: one(spark, scalars.resolved_column(F.array(*map(F.lit, headers)), names))
+    assert resolved([" Quality ", "AU10"], "Quality") == " Quality " and resolved(["quality"], "Quality") == "quality"
+    assert resolved(["time", "Video Time"], "Video Time", "Time") == "Video Time" and resolved(["time"], "Video Time", "Time") == "time"
+    with pytest.raises(Exception, match="no column"):
+        resolved(["b"], "a")
 
 
 def test_options():
@@ -46,13 +46,18 @@ def test_options():
 def test_order_statistics(spark):
     rows = spark.createDataFrame([(0, float(i)) for i in range(1, 7)], "g int, x double")
     assert rows.groupBy("g").agg(stats.nearest_rank(F.col("x"), 50).alias("p")).first()["p"] == 3
-    assert stats.ranked_percentile(rows, ["g"], "x", 50, "p").first()["p"] == 3
+    assert stats.ranked_percentiles(rows, ["g"], "x", {"p": 50}).first()["p"] == 3
     four = rows.where("x <= 4")
     assert four.groupBy("g").agg(stats.upper_median(F.col("x")).alias("m")).first()["m"] == 3
     assert rows.where("x > 9").groupBy().agg(stats.upper_median(F.col("x"), 0.04).alias("m")).first()["m"] == 0.04
     many = spark.createDataFrame([(i % 3, float(i * 7 % 11)) for i in range(200)], "g int, x double")
+    large = spark.range(60_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.rand(1)).alias("x")).cache()
+    for p in (0, 10, 50, 99.9):
+        a = {r["g"]: r["v"] for r in stats.ranked_percentiles(large, ["g"], "x", {"v": p}).collect()}
+        b = {r["g"]: r["v"] for r in large.groupBy("g").agg(stats.nearest_rank(F.col("x"), p).alias("v")).collect()}
+        assert a == b
     for p in (0, 10, 37, 95, 100):
-        a = {r["g"]: r["v"] for r in stats.ranked_percentile(many, ["g"], "x", p, "v").collect()}
+        a = {r["g"]: r["v"] for r in stats.ranked_percentiles(many, ["g"], "x", {"v": p, "w": 50}).collect()}
         b = {r["g"]: r["v"] for r in many.groupBy("g").agg(stats.nearest_rank(F.col("x"), p).alias("v")).collect()}
         assert a == b
 
