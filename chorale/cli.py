@@ -22,6 +22,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--preset", choices=sorted(PRESETS))
     d.add_argument("--limit", type=int)
     d.add_argument("--pattern", default="*.wav")
+    d.add_argument("--copy-out", help="a folder for a second copy of the segment files")
     e = modes.add_parser("extract", help="face-table workbooks to participant tables")
     e.add_argument("--workbooks", required=True)
     e.add_argument("--out", required=True)
@@ -58,41 +59,58 @@ def main(argv: list[str] | None = None) -> int:
     from .sources import sinks
 
     if args.mode == "diarize":
-        from .plans.diarize import diarize
+        from .plans.diarize import diagnostics, diarize, speech_probabilities
         from .sources.audio import list_recordings
-        from .sources.models import OnnxEmbedder, OnnxVad
+        from .sources.models import OnnxEmbedder, OnnxVad, distribute
+        from .staging import staged
 
         options = options_from(args, PRESETS[args.preset] if args.preset else DiarizeOptions())
-        found = diarize(list_recordings(spark, args.audio, args.pattern, args.limit), args.vad and OnnxVad(args.vad), args.spk and OnnxEmbedder(args.spk), options).cache()
+        recordings, scorer, embedder = list_recordings(spark, args.audio, args.pattern, args.limit), None, None
+        if args.vad:
+            scorer = OnnxVad(distribute(spark, args.vad))
+        if args.spk:
+            embedder = OnnxEmbedder(distribute(spark, args.spk))
+        probs = staged(speech_probabilities(recordings, scorer, options))
+        found = staged(diarize(recordings, scorer, embedder, options, probs))
         single = args.out.endswith(".json")
         sinks.write_texts(sinks.segments_json(found), lambda row: sinks.output_path(args.out, row["recording_id"], is_dir=not single))
         if not single:
             sinks.write_csv(sinks.run_summary(found).orderBy("file").coalesce(1), f"{args.out.rstrip('/')}/run_summary")
+            if args.copy_out:
+                sinks.write_texts(sinks.segments_json(found), lambda row: sinks.output_path(args.copy_out, row["recording_id"], is_dir=True))
+        for row in diagnostics(probs, found).orderBy("recording_id").toLocalIterator():
+            print(
+                f"{row['recording_id']}: {row['n_frames']} frames, p {row['p_min']:.3f} to {row['p_max']:.3f}, mean {row['p_mean']:.3f}; "
+                f"{row['n_segments']} segments, the last ends at {row['last_end']:.2f} s"
+            )
     elif args.mode == "extract":
         from .plans.extract import extract
 
         blocks, summary = extract(spark, args.workbooks, options_from(args, ExtractOptions()))
         out = args.out.rstrip("/")
-        sinks.write_csv(blocks.drop("row_idx"), f"{out}/participants", ["recording_id", "participant"])
+        sinks.write_texts(sinks.participant_csv(blocks), lambda row: f"{out}/{row['recording_id']}/{row['participant']}.csv", "csv")
         sinks.write_csv(summary, f"{out}/participants_summary")
     else:
+        from .operators.scoring import score_matrix
         from .plans.align import align
         from .sources.tables import read_participants, read_segments
 
-        segments = read_segments(spark, args.segments)
-        named = segments.select("recording_id").first()  # the participant tables belong to the recording of the segment file
-        samples = read_participants(spark, args.participants_dir).withColumn("recording_id", F.lit(named[0] if named else ""))
+        segments, samples = read_segments(spark, args.segments), read_participants(spark, args.participants_dir)
+        first = [r[0] for r in segments.select("recording_id").distinct().limit(2).collect()]
+        if len(first) < 2 and samples.select("recording_id").distinct().limit(2).count() < 2:
+            # One recording: the tables are its own, whatever their folder is called.
+            samples = samples.withColumn("recording_id", F.lit(first[0] if first else ""))
         result = align(segments, samples, options_from(args, CLI_ALIGN))
         out = args.out.rstrip("/")
+        folder = lambda row: out if len(first) < 2 else f"{out}/{row['recording_id']}"
         sinks.write_csv(result.participants, f"{out}/participant_debug")
         sinks.write_csv(result.segment_scores, f"{out}/segment_vvad_debug")
+        # One name for each column of the wide form; the long form has no such bound.
         names = sorted(r[0] for r in result.score_matrix.select("participant").distinct().collect())
-        from .operators.scoring import score_matrix
-
         sinks.write_csv(score_matrix(result.score_matrix, ["recording_id"], names), f"{out}/score_matrix")
-        sinks.write_texts(sinks.map_json(result.global_map, "speaker", "global_pid"), lambda row: f"{out}/speaker_to_participant.json")
-        shown = ("start", "end", "speaker", "participant", "ambiguous", "best_pid", "best_val", "top2_pid", "top2_val", "global_pid")
-        sinks.write_texts(sinks.segments_json(result.aligned, shown), lambda row: f"{out}/aligned_segments.json")
+        sinks.write_texts(sinks.map_json(result.global_map, "speaker", "global_pid"), lambda row: f"{folder(row)}/speaker_to_participant.json")
+        shown = ("start", "end", "speaker", "participant", "ambiguous", "reason", "best_pid", "best_val", "top2_pid", "top2_val", "global_pid")
+        sinks.write_texts(sinks.segments_json(result.aligned, shown), lambda row: f"{folder(row)}/aligned_segments.json")
     return 0
 
 

@@ -59,7 +59,7 @@ def sticky_assign(rows: DataFrame, keys: list[str], stick_ratio: float) -> DataF
     """Rows (keys, seg_idx, choice, ambiguous, best_*, top2_*) plus ``participant``.
 
     In order of seg_idx, an ambiguous row keeps the previous participant if that one's value here reaches
-    ``stick_ratio`` of the best.  The only true fold: one array per recording, folded inside Catalyst.
+    ``stick_ratio`` of the best, and a row without scores keeps it in any case.  The only true fold: one array per recording, folded inside Catalyst.
     """
     second = F.coalesce("top2_val", F.lit(0.0))
     item = F.struct(
@@ -70,7 +70,7 @@ def sticky_assign(rows: DataFrame, keys: list[str], stick_ratio: float) -> DataF
 
     def step(acc: Column, x: Column) -> Column:
         held = F.when(acc["prev"] == x["best_pid"], x["best"]).when(acc["prev"] == x["second_pid"], x["second"]).otherwise(F.lit(0.0))
-        stays = x["amb"] & acc["prev"].isNotNull() & (held >= F.lit(stick_ratio) * x["best"])
+        stays = (x["amb"] & acc["prev"].isNotNull() & (held >= F.lit(stick_ratio) * x["best"])) | x["best_pid"].isNull()
         chosen = F.when(stays, acc["prev"]).otherwise(x["choice"])
         return F.struct(chosen.alias("prev"), F.concat(acc["out"], F.array(F.struct(x["seg_idx"].alias("seg_idx"), chosen.alias("participant")))).alias("out"))
 

@@ -15,7 +15,7 @@ from ..config import AlignOptions
 from ..functions.scalars import adaptive_limit, clamp_between, clamp_to, combined_score
 from ..functions.stats import nearest_rank, upper_median
 from ..operators import scoring
-from ..operators.intervals import interval_stats, oscillation_rate, samples_in_intervals
+from ..operators.intervals import interval_profile, samples_in_intervals
 from ..operators.ordered import absolute_speed, merge_adjacent, moving_average
 from ..staging import staged
 
@@ -61,10 +61,8 @@ def segment_scores(segments: DataFrame, activity: DataFrame, kept: DataFrame) ->
     everyone = segments.join(kept, KEY)
     by = [*KEY, "seg_idx", "participant"]
     pairs = samples_in_intervals(segments, activity.join(kept, [*KEY, "participant"], "left_semi"), KEY, BUCKET)
-    speed = interval_stats(pairs, by, "spd", "spd")
-    opened = interval_stats(pairs, by, "mouth_open", "open")
-    rate = oscillation_rate(pairs, by, "mouth_open", ["i"], "dur")
-    joined = everyone.join(speed, by, "left").join(opened, by, "left").join(rate, by, "left").na.fill(0.0, ["spd_mean", "spd_std", "open_mean", "rate"])
+    profile = interval_profile(pairs, by, "spd", "mouth_open", ["i"], "dur")
+    joined = everyone.join(profile, by, "left").na.fill(0.0, ["spd_mean", "spd_std", "open_mean", "rate"])
     return joined.withColumn("combined", combined_score(F.col("spd_mean"), F.col("spd_std"), F.col("open_mean"), F.col("rate")))
 
 
@@ -82,16 +80,19 @@ def align(segments: DataFrame, samples: DataFrame, options: AlignOptions = Align
 
     by = [*KEY, "seg_idx"]
     top = scoring.top_three(scores, by, "participant", "pid_ord", "combined")
-    debug = timed.join(top, by).withColumn("ambiguous", scoring.is_ambiguous(F.col("best_val"), F.col("top2_val"), options.best_min, options.margin_ratio))
+    # A recording without participants has no scores: its segments are ambiguous, with a reason.
+    ambiguous = F.coalesce(scoring.is_ambiguous(F.col("best_val"), F.col("top2_val"), options.best_min, options.margin_ratio), F.lit(True))
+    every = timed.join(top, by, "left").withColumns({"ambiguous": ambiguous, "reason": F.when(F.col("best_pid").isNull(), F.lit("missing_debug_row"))})
+    debug = every.where("best_pid is not null").drop("reason")
     probs = scoring.softmax(scores, by, "combined", options.softmax_temp)
     # Speakers whose segments are all too short still have a row of zeros.
     pairs = segments.select(*KEY, "speaker").distinct().join(kept, KEY)
     matrix = staged(scoring.log_scores(probs, pairs, KEY))
     mapped = scoring.global_map(matrix, KEY)
 
-    ready = debug.join(mapped, [*KEY, "speaker"], "left").join(covered, KEY).withColumn("choice", scoring.first_choice(options.use_global_map, options.amb_local_margin))
+    ready = every.join(mapped, [*KEY, "speaker"], "left").join(covered, KEY).withColumn("choice", scoring.first_choice(options.use_global_map, options.amb_local_margin))
     assigned = scoring.sticky_assign(staged(ready), KEY, options.stick_ratio)
     first = lambda c: F.min_by(c, F.struct("start", "seg_idx"))
-    extra = {"ambiguous": F.bool_or("ambiguous")} | {c: first(c) for c in ("speaker", "best_pid", "best_val", "top2_pid", "top2_val", "global_pid")}
+    extra = {"ambiguous": F.bool_or("ambiguous")} | {c: first(c) for c in ("speaker", "reason", "best_pid", "best_val", "top2_pid", "top2_val", "global_pid")}
     aligned = merge_adjacent(assigned, KEY, "participant", options.merge_gap, extra=extra)
     return Alignment(flagged, debug, matrix, mapped, assigned, aligned)

@@ -1,7 +1,7 @@
 """Diarization: recordings to segments of who spoke when.
 
-Decoding, features and speech scores share one task per recording; segments are relational; embeddings and clusters are
-computed per recording, in parallel over recordings.
+Decoding, features and speech scores share one task per recording; segments are relational; embeddings are computed where the
+audio is read, and clusters per recording, in parallel over recordings.
 """
 
 from __future__ import annotations
@@ -21,8 +21,11 @@ from ..schemas import EMBEDDING, VAD_PROB
 from ..shipping import ship
 from ..sources.audio import decode_wav, log_mel
 from ..sources.models import Embedder, EnergyVad, PooledEmbedder, VadScorer, embed_scales, sliding_speech
+from ..staging import staged
 
 KEY = ["recording_id"]
+#: Sub-segments up to this many (24 bytes each) are broadcast to the recordings; more are joined by a shuffle.
+BROADCAST_SPANS = 1_000_000
 
 
 def speech_probabilities(recordings: DataFrame, scorer: VadScorer | None = None, options: DiarizeOptions = DiarizeOptions()) -> DataFrame:
@@ -47,27 +50,31 @@ def embeddings(recordings: DataFrame, subs: DataFrame, embedder: Embedder | None
     frames = lambda seconds: tuple(max(1, round(s / FRAME_HOP)) for s in seconds)
     windows, shifts, weights = frames(options.windows), frames(options.shifts), options.weights
 
-    def work(audio: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(audio) and len(parts):
-            mel = log_mel(decode_wav(audio["content"].iloc[0]), normalise=True)
-            for sub, start, end in zip(parts["sub_idx"], parts["start"], parts["end"]):
-                first, last = max(0, int(np.floor(start / FRAME_HOP))), min(len(mel), int(np.ceil(end / FRAME_HOP)))
-                if last > first:
-                    rows.append((audio["recording_id"].iloc[0], sub, embed_scales(mel[first:last], embedder, windows, shifts, weights).astype(float)))
-        return pd.DataFrame(rows, columns=["recording_id", "sub_idx", "vec"])
-
-    grouped = recordings.select("recording_id", "content").groupBy("recording_id")
-    return grouped.cogroup(subs.select("recording_id", "sub_idx", "start", "end").groupBy("recording_id")).applyInPandas(work, EMBEDDING)
-
-
-def diarize(recordings: DataFrame, scorer: VadScorer | None = None, embedder: Embedder | None = None, options: DiarizeOptions = DiarizeOptions()) -> DataFrame:
-    """(recording_id, seg_idx, start, end, speaker) of recordings (recording_id, content)."""
-    probs = speech_probabilities(recordings, scorer, options)
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, content, parts in zip(pdf["recording_id"], pdf["content"], pdf["parts"]):
+                mel = log_mel(decode_wav(content), normalise=True)
+                rows = []
+                for part in parts:
+                    first, last = max(0, int(np.floor(part["start"] / FRAME_HOP))), min(len(mel), int(np.ceil(part["end"] / FRAME_HOP)))
+                    if last > first:
+                        rows.append((name, part["sub_idx"], embed_scales(mel[first:last], embedder, windows, shifts, weights).astype(float)))
+                yield pd.DataFrame(rows, columns=["recording_id", "sub_idx", "vec"])
+
+    # The spans go to the audio, which is never shuffled while they fit a broadcast.
+    spans = staged(subs.groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("sub_idx", "start", "end"))).alias("parts")))
+    if (spans.agg(F.sum(F.size("parts"))).first()[0] or 0) <= BROADCAST_SPANS:
+        spans = F.broadcast(spans)
+    return recordings.select("recording_id", "content").join(spans, "recording_id").mapInPandas(work, EMBEDDING)
+
+
+def diarize(recordings: DataFrame, scorer: VadScorer | None = None, embedder: Embedder | None = None, options: DiarizeOptions = DiarizeOptions(), probs: DataFrame | None = None) -> DataFrame:
+    """(recording_id, seg_idx, start, end, speaker) of recordings (recording_id, content); ``probs`` if they are known."""
+    probs = speech_probabilities(recordings, scorer, options) if probs is None else probs
     spoken = hysteresis_segments(
         probs, KEY, FRAME_HOP, options.onset, options.offset, options.pad_onset, options.pad_offset, options.min_speech, options.min_silence
     )
-    subs = subsegments(spoken, KEY, options.subseg_win, options.subseg_shift)
+    subs = staged(subsegments(spoken, KEY, options.subseg_win, options.subseg_shift))
     vectors = embeddings(recordings, subs, embedder, options)
     labels = cluster_labels(vectors, "recording_id", "sub_idx", "vec", options.clustering, options.threshold, options.max_speakers)
     return label_segments(subs, labels, options)

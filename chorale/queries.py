@@ -12,15 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .config import AlignOptions, DiarizeOptions
+from .config import AlignOptions, DiarizeOptions, ExtractOptions
 from .functions import scalars, stats
 from .operators import clustering, intervals, ordered, scoring, vectors
 from .plans import align as alignment
 from .plans import diarize as diarization
-from .plans.extract import participants_summary
+from .plans.extract import extract, participants_summary
 from .schemas import SEGMENT_JSON
 from .shipping import ship
 from .sources import audio, sinks
+from .sources.tables import read_participants, read_segments, workbook_bytes
 from .staging import shared_folder, staged
 
 USER = ["user_id"]
@@ -252,8 +253,7 @@ def speed_norm(spark, sf_dir):
     FROM (SELECT l_returnflag, list_sort(list(l_extendedprice)) AS xs FROM lineitem GROUP BY l_returnflag)""")
 def nearest_rank_percentiles(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
-    low, high = (stats.ranked_percentile(items, ["l_returnflag"], "l_extendedprice", p, f"p{p}") for p in (10, 95))
-    return rounded(low.join(high, "l_returnflag"), "p10", "p95")
+    return rounded(stats.ranked_percentiles(items, ["l_returnflag"], "l_extendedprice", {"p10": 10, "p95": 95}), "p10", "p95")
 
 
 @query("upper_median_dt", f"""WITH {FRAMES}, steps AS (SELECT user_id, t - lag(t) OVER (PARTITION BY user_id ORDER BY frame_idx) AS dt FROM frames),
@@ -362,10 +362,8 @@ def inside(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = inside(spark, sf_dir)
-    joined = timed(spark, sf_dir).join(people(spark, sf_dir), REC)
-    for part in (intervals.interval_stats(pairs, BY, "p", "spd"), intervals.interval_stats(pairs, BY, "mouth_open", "open"), intervals.oscillation_rate(pairs, BY, "mouth_open", ["t", "i"], "dur")):
-        joined = joined.join(part, BY, "left")
+    profile = intervals.interval_profile(inside(spark, sf_dir), BY, "p", "mouth_open", ["t", "i"], "dur")
+    joined = timed(spark, sf_dir).join(people(spark, sf_dir), REC).join(profile, BY, "left")
     filled = joined.na.fill(0.0, ["spd_mean", "spd_std", "open_mean", "rate"])
     return filled.withColumn("combined", scalars.combined_score(F.col("spd_mean"), F.col("spd_std"), F.col("open_mean"), F.col("rate")))
 
@@ -441,10 +439,15 @@ def log_scores(spark, sf_dir):
     return matrix(spark, sf_dir).select("recording_id", "speaker", "participant", "log_score")
 
 
-@query("score_matrix", f"""WITH {_RANKED} SELECT recording_id, speaker, {", ".join(f"max(log_score) FILTER (WHERE participant = '{p}') AS {p}" for p in ("click", "purchase", "view"))}
+#: The event types, which stand for participants; the wide form in SQL has to name its columns.
+PARTICIPANTS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("score_matrix", f"""WITH {_RANKED} SELECT recording_id, speaker, {", ".join(f"max(log_score) FILTER (WHERE participant = '{p}') AS {p}" for p in PARTICIPANTS)}
     FROM matrix GROUP BY recording_id, speaker""")
 def score_matrix(spark, sf_dir):
-    return scoring.score_matrix(matrix(spark, sf_dir), REC, ["click", "purchase", "view"])
+    names = sorted(r[0] for r in people(spark, sf_dir).select("participant").distinct().collect())  # one for each column
+    return scoring.score_matrix(matrix(spark, sf_dir), REC, names)
 
 
 @query("global_map", f"WITH {_RANKED} SELECT recording_id, speaker, global_pid FROM mapped")
@@ -528,7 +531,9 @@ _AFFINITY = """units AS (SELECT label, vec_id, list_transform(embedding::DOUBLE[
 
 
 def affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(vectors.cosine_affinity(vecs(spark, sf_dir), LAB, "vec_id"), "w")
+    given = vecs(spark, sf_dir)
+    first = given.select(F.size("vec")).first()  # vectors of one model have one length
+    return rounded(vectors.cosine_affinity(given, LAB, "vec_id", size=first and first[0]), "w")
 
 
 @query("cosine_affinity", f"WITH {_AFFINITY} SELECT label, i, j, w FROM affinity")
@@ -656,33 +661,75 @@ def activity_per_user(spark, sf_dir):
     return merged.groupBy("user_id").agg(F.count(F.lit(1)).alias("segments"), F.round(F.sum(F.round("end", 9) - F.round("start", 9)), 6).alias("seconds"))
 
 
-# Clusters: per recording, in numpy; no SQL.
+# Clusters: per recording, in numpy.  Each vector is drawn to one of five axes, so there are speakers to find.
 
-@query("ahc_labels")
-def ahc_labels(spark, sf_dir):
-    return _clusters(spark, sf_dir, "agglomerative", 0.8)
+PULL = 1.5
+_SPOKEN = f"""{_ELEMENTS},
+    pulled AS (SELECT label, vec_id, pos, x + CASE WHEN pos = vec_id % 5 THEN {PULL}::DOUBLE ELSE 0 END AS x FROM elements),
+    vecs AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS n FROM embeddings)"""
 
 
-def _clusters(spark: SparkSession, sf_dir: str, method: str, threshold: float = 0.3) -> DataFrame:
-    grouped = vecs(spark, sf_dir).select(F.col("label").alias("recording_id"), F.col("vec_id").alias("sub_idx"), "vec")
-    return clustering.cluster_labels(grouped, method=method, threshold=threshold)
+def speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(recording_id, sub_idx, vec): a label is a recording."""
+    drawn = F.transform("vec", lambda x, i: x.cast("double") + F.when(i == F.col("vec_id") % 5, F.lit(PULL)).otherwise(F.lit(0.0)))
+    return vecs(spark, sf_dir).select(F.col("label").alias("recording_id"), F.col("vec_id").alias("sub_idx"), drawn.alias("vec"))
 
 
-@query("spectral_labels")
-def spectral_labels(spark, sf_dir):
-    return _clusters(spark, sf_dir, "spectral")
+def _merges(limit: float) -> str:
+    """All states of centroid linkage up to a distance: in each step the closest pair of every recording merges."""
+    return f"""states(label, vec_id, cluster, step, d) AS (
+        SELECT label, vec_id, n, 0, 0::DOUBLE FROM vecs
+        UNION ALL
+        SELECT s.label, s.vec_id, CASE WHEN s.cluster = b.j THEN b.i ELSE s.cluster END, s.step + 1, greatest(s.d, b.d)
+        FROM states s JOIN (
+            SELECT label, i, j, d FROM (
+                SELECT label, i, j, 1 - sum(ab) / (sqrt(max(aa)) * sqrt(max(bb))) AS d FROM (
+                    SELECT l.label, l.cluster AS i, r.cluster AS j, l.x * r.x AS ab, l.xx AS aa, r.xx AS bb
+                    FROM (SELECT *, sum(x * x) OVER (PARTITION BY label, cluster) AS xx FROM (SELECT label, cluster, pos, sum(x) AS x FROM states JOIN pulled USING (label, vec_id) GROUP BY ALL)) l
+                    JOIN (SELECT *, sum(x * x) OVER (PARTITION BY label, cluster) AS xx FROM (SELECT label, cluster, pos, sum(x) AS x FROM states JOIN pulled USING (label, vec_id) GROUP BY ALL)) r
+                      ON l.label = r.label AND l.pos = r.pos AND l.cluster < r.cluster)
+                GROUP BY label, i, j)
+            WHERE d <= {limit}::DOUBLE QUALIFY row_number() OVER (PARTITION BY label ORDER BY d, i, j) = 1) b ON b.label = s.label)"""
+
+
+@query("ahc_labels", f"""WITH RECURSIVE {_SPOKEN}, {_merges(0.6)},
+    last AS (SELECT * FROM states QUALIFY step = max(step) OVER (PARTITION BY label))
+    SELECT label AS recording_id, vec_id AS sub_idx, CAST(dense_rank() OVER (PARTITION BY label ORDER BY cluster) - 1 AS INTEGER) AS label FROM last""")
+def ahc_labels(spark, sf_dir):
+    return clustering.cluster_labels(speakers(spark, sf_dir), method="agglomerative", threshold=0.6)
+
+
+@query("threshold_search", f"""WITH RECURSIVE {_SPOKEN}, {_merges(0.5)},
+    tries AS (SELECT 0.10::DOUBLE + i * 0.02::DOUBLE AS threshold FROM (SELECT unnest(range(21)) AS i)),
+    ends AS (SELECT label, threshold, max(step) AS step FROM states, tries WHERE d <= threshold GROUP BY ALL),
+    held AS (SELECT label, threshold, vec_id, cluster FROM states JOIN ends USING (label, step)),
+    apart AS (
+        SELECT a.label, a.vec_id AS i, b.vec_id AS j, 1 - sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))) AS d
+        FROM pulled a JOIN pulled b ON a.label = b.label AND a.pos = b.pos AND a.vec_id <> b.vec_id GROUP BY ALL),
+    means AS (
+        SELECT l.label, l.threshold, l.vec_id, l.cluster AS own, r.cluster AS other, avg(d) AS d
+        FROM held l JOIN held r ON l.label = r.label AND l.threshold = r.threshold AND l.vec_id <> r.vec_id JOIN apart ON apart.label = l.label AND i = l.vec_id AND j = r.vec_id GROUP BY ALL),
+    sides AS (SELECT label, threshold, vec_id, own, coalesce(max(d) FILTER (WHERE own = other), 0) AS a, coalesce(min(d) FILTER (WHERE own <> other), 0) AS b FROM means GROUP BY ALL),
+    scores AS (SELECT label, threshold, CASE WHEN count(DISTINCT own) <= 1 THEN -1 ELSE avg((b - a) / greatest(a, b)) END - 0.05 * count(DISTINCT own) AS score FROM sides GROUP BY label, threshold),
+    best AS (SELECT label, threshold, score FROM scores QUALIFY row_number() OVER (PARTITION BY label ORDER BY round(score, 9) DESC, threshold) = 1)
+    SELECT label AS recording_id, vec_id AS sub_idx, CAST(dense_rank() OVER (PARTITION BY label ORDER BY cluster) - 1 AS INTEGER) AS label, round(threshold, 9) AS threshold, round(score, 9) AS score
+    FROM held JOIN best USING (label, threshold)""")
+def threshold_search(spark, sf_dir):
+    return rounded(clustering.threshold_searches(speakers(spark, sf_dir)), "threshold", "score")
 
 
-@query("nmesc_k")
-def nmesc_k(spark, sf_dir):
-    grouped = vecs(spark, sf_dir).select(F.col("label").alias("recording_id"), F.col("vec_id").alias("sub_idx"), "vec")
-    return clustering.speaker_estimates(grouped)
+# The spectral results need eigenvalues, so SQL says what is to be found: the five axes.
 
+@query("spectral_labels", "SELECT label AS recording_id, vec_id AS sub_idx, min(vec_id) OVER (PARTITION BY label, vec_id % 5) AS first_sub FROM embeddings")
+def spectral_labels(spark, sf_dir):
+    """Labels are arbitrary, so each is shown as its smallest member."""
+    found = clustering.cluster_labels(speakers(spark, sf_dir), method="spectral")
+    return found.select("recording_id", "sub_idx", F.min("sub_idx").over(Window.partitionBy("recording_id", "label")).alias("first_sub"))
 
-@query("threshold_search")
-def threshold_search(spark, sf_dir):
-    grouped = vecs(spark, sf_dir).select(F.col("label").alias("recording_id"), F.col("vec_id").alias("sub_idx"), "vec")
-    return clustering.threshold_searches(grouped)
+
+@query("nmesc_k", "SELECT label AS recording_id, CAST(count(DISTINCT vec_id % 5) AS INTEGER) AS n_speakers FROM embeddings GROUP BY label")
+def nmesc_k(spark, sf_dir):
+    return clustering.speaker_estimates(speakers(spark, sf_dir)).drop("p")
 
 
 # Files and models: audio made from the score series, results written and read again.
@@ -691,24 +738,30 @@ def threshold_search(spark, sf_dir):
 TONE = 800
 
 
-def _wav_of(levels) -> bytes:
-    """Noise whose level follows the series, as a mono WAV file."""
+def wav_bytes(samples) -> bytes:
+    """A mono WAV file of samples from -1 to 1."""
     import io
     import wave
 
     import numpy as np
 
-    noise = np.random.default_rng(0).uniform(-1, 1, len(levels) * TONE)
-    pcm = np.round(noise * np.repeat(np.asarray(levels, float), TONE) * 30_000).astype("<i2")
     out = io.BytesIO()
     with wave.open(out, "wb") as w:
         w.setnchannels(1)
         w.setsampwidth(2)
         w.setframerate(16_000)
-        w.writeframes(pcm.tobytes())
+        w.writeframes(np.round(samples * 32_767).astype("<i2").tobytes())
     return out.getvalue()
 
 
+def _wav_of(levels) -> bytes:
+    """Noise whose level follows the series, as a mono WAV file."""
+    import numpy as np
+
+    noise = np.random.default_rng(0).uniform(-1, 1, len(levels) * TONE)
+    return wav_bytes(noise * np.repeat(np.asarray(levels, float), TONE) * 0.9)
+
+
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One WAV file (recording_id, content) for each user."""
     ship(spark)
@@ -752,12 +805,88 @@ def speaker_embeddings(spark, sf_dir):
     return found.select("recording_id", "sub_idx", F.size("vec").alias("size"))
 
 
-@query("diarize_end_to_end")
+#: Bands (Hz) of the two voices.
+VOICES = ((100, 1500), (2000, 7500))
+
+
+def talk_of(voices) -> bytes:
+    """A second of silence and a second of noise in the band of a voice by turns, and silence at the end."""
+    import numpy as np
+
+    noise = np.random.default_rng(0).normal(size=16_000)
+    f = np.fft.rfftfreq(16_000, 1 / 16_000)
+    said = [np.fft.irfft(np.where((f >= low) & (f <= high), np.fft.rfft(noise), 0), 16_000) for low, high in VOICES]
+    quiet = np.zeros(16_000)
+    return wav_bytes(np.concatenate([*(x for v in voices for x in (quiet, 0.3 * said[v] / np.abs(said[v]).max())), quiet]))
+
+
+_TURNS = """turns AS (
+    SELECT CAST(user_id AS VARCHAR) AS recording_id, k, voice FROM (
+        SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k, CASE WHEN event_type IN ('click', 'view') THEN 0 ELSE 1 END AS voice FROM events)
+    WHERE k < 6)"""
+
+
+@query("diarize_end_to_end", f"""WITH {_TURNS}, firsts AS (SELECT recording_id, min(k) FILTER (WHERE voice = 0) AS a, min(k) FILTER (WHERE voice = 1) AS b FROM turns GROUP BY recording_id)
+    SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY k) - 1 AS seg_idx, CAST(2 * k + 1 AS DOUBLE) AS "start", CAST(2 * k + 2 AS DOUBLE) AS "end",
+           CASE WHEN voice = 0 THEN CASE WHEN b < a THEN 'speaker_1' ELSE 'speaker_0' END ELSE CASE WHEN a < b THEN 'speaker_1' ELSE 'speaker_0' END END AS speaker
+    FROM turns JOIN firsts USING (recording_id)""")
 def diarize_end_to_end(spark, sf_dir):
-    return diarization.diarize(recordings(spark, sf_dir), options=_OPTIONS)
+    """Recordings of six turns of two voices; SQL knows who spoke when.  Times are shown in quarters of a second."""
+    ship(spark)
+    voice = F.when(F.col("event_type").isin("click", "view"), F.lit(0)).otherwise(F.lit(1))
+    turns = frames(spark, sf_dir).where("frame_idx < 6").groupBy(F.col("user_id").cast("string").alias("recording_id")).agg(F.array_sort(F.collect_list(F.struct("frame_idx", voice.alias("voice")))).alias("turns"))
+
+    def work(batches):
+        for pdf in batches:
+            yield pdf.assign(content=[talk_of([t["voice"] for t in turns]) for turns in pdf["turns"]])[["recording_id", "content"]]
+
+    options = DiarizeOptions(onset=0.6, offset=0.4, min_silence=0.3, vad_window=0.1, windows=(0.5, 0.3), shifts=(0.25, 0.15), subseg_win=0.5, subseg_shift=0.25, merge_gap=0.25, min_seg=0.4, threshold=0.3)
+    found = diarization.diarize(staged(turns.mapInPandas(work, "recording_id string, content binary")), options=options)
+    quarter = lambda c: (F.round(F.col(c) * 4) / 4).alias(c)
+    order = Window.partitionBy("recording_id").orderBy("start")
+    return found.select("recording_id", (F.row_number().over(order) - 1).cast("long").alias("seg_idx"), quarter("start"), quarter("end"), "speaker")
+
+
+_ALIGN = f"""{FRAMES},
+    {_SCORES.split(FRAMES + ",")[1].split("pairs AS (")[0].strip().rstrip(",")},
+    numbered AS (SELECT recording_id, participant, row_number() OVER (PARTITION BY recording_id, participant ORDER BY t, i) - 1 AS i, t, p AS mouth, mouth_open FROM samples),
+    stepped AS (SELECT *, CAST(t - lag(t) OVER (PARTITION BY recording_id, participant ORDER BY i) AS FLOAT) AS gap FROM numbered),
+    clocks AS (SELECT recording_id, participant, list_sort(list(gap) FILTER (WHERE gap IS NOT NULL)) AS gaps, list_sort(list(mouth)) AS xs FROM stepped GROUP BY ALL),
+    facts AS (SELECT recording_id, participant, CASE WHEN gaps[len(gaps) // 2 + 1] > 0 THEN gaps[len(gaps) // 2 + 1]::DOUBLE ELSE 0.04 END AS dt,
+                     xs[CAST(round_even(0.1::DOUBLE * (len(xs) - 1), 0) AS BIGINT) + 1] AS p10, xs[CAST(round_even(0.9::DOUBLE * (len(xs) - 1), 0) AS BIGINT) + 1] AS p90 FROM clocks),
+    normed AS (SELECT n.*, dt, least(greatest((mouth - p10) / CASE WHEN p90 - p10 > 1e-6 THEN p90 - p10 ELSE 1 END, 0), 1) AS norm FROM numbered n JOIN facts USING (recording_id, participant)),
+    sped AS (SELECT *, coalesce(abs(norm - lag(norm) OVER (PARTITION BY recording_id, participant ORDER BY i)) / greatest(dt, 1e-6), 0) AS speed FROM normed),
+    fast AS (SELECT recording_id, participant, xs[CAST(round_even(0.95::DOUBLE * (len(xs) - 1), 0) AS BIGINT) + 1] AS p95 FROM (SELECT recording_id, participant, list_sort(list(speed)) AS xs FROM sped GROUP BY ALL)),
+    active AS (SELECT s.*, least(greatest(speed / (p95 + 1e-6), 0), 1) AS spd FROM sped s JOIN fast USING (recording_id, participant)),
+    pairs AS (SELECT g.recording_id, seg_idx, participant, i, spd, mouth_open, dur FROM timed g JOIN active s ON g.recording_id = s.recording_id AND t >= "start"::FLOAT AND t <= "end"::FLOAT),
+    moves AS (SELECT *, abs(mouth_open - lag(mouth_open) OVER (PARTITION BY recording_id, seg_idx, participant ORDER BY i)) AS step FROM pairs),
+    stats AS (SELECT recording_id, seg_idx, participant, count(*) AS n, avg(spd) AS mean, stddev_pop(spd) AS std, avg(mouth_open) AS open_mean, coalesce(sum(step), 0) / max(dur) AS rate FROM moves GROUP BY ALL HAVING count(*) >= 3),
+    scores AS (SELECT g.*, k.participant, pid_ord, (coalesce(mean, 0) + 0.5 * coalesce(std, 0)) * (0.85 + 0.15 * coalesce(open_mean, 0)) + 0.02 * least(coalesce(rate, 0), 2) AS combined
+               FROM timed g JOIN people k USING (recording_id) LEFT JOIN stats s ON s.recording_id = g.recording_id AND s.seg_idx = g.seg_idx AND s.participant = k.participant),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY recording_id, seg_idx ORDER BY round(combined, 12) DESC, pid_ord) AS n FROM scores),
+    top AS (SELECT recording_id, seg_idx, any_value("start") AS "start", any_value("end") AS "end", any_value(speaker) AS speaker, max(participant) FILTER (WHERE n = 1) AS best_pid,
+                   max(combined) FILTER (WHERE n = 1) AS best_val, max(participant) FILTER (WHERE n = 2) AS top2_pid, max(combined) FILTER (WHERE n = 2) AS top2_val FROM ranked GROUP BY recording_id, seg_idx),
+    debug AS (SELECT *, best_val < 0.06::DOUBLE OR coalesce(best_val < 1.08::DOUBLE * top2_val, false) AS ambiguous FROM top),
+    es AS (SELECT *, exp((combined - max(combined) OVER w) / 0.08::DOUBLE) AS e FROM scores WINDOW w AS (PARTITION BY recording_id, seg_idx)),
+    probs AS (SELECT *, e / (sum(e) OVER (PARTITION BY recording_id, seg_idx) + 1e-12) AS prob FROM es),
+    mapped AS (SELECT recording_id, speaker, participant AS global_pid FROM (SELECT recording_id, speaker, participant, any_value(pid_ord) AS pid_ord, sum(dur * ln(prob + 1e-12)) AS log_score FROM probs GROUP BY recording_id, speaker, participant)
+               QUALIFY row_number() OVER (PARTITION BY recording_id, speaker ORDER BY round(log_score, 6) DESC, pid_ord) = 1),
+    -- All segments are longer than the limit of half a minute, so an ambiguous one takes its best participant.
+    items AS (SELECT d.*, CASE WHEN ambiguous OR (coalesce(top2_val, 0) > 0 AND best_val >= 1.6 * top2_val) THEN best_pid ELSE coalesce(global_pid, best_pid) END AS choice,
+                     row_number() OVER (PARTITION BY d.recording_id ORDER BY seg_idx) AS k FROM debug d LEFT JOIN mapped m ON m.recording_id = d.recording_id AND m.speaker = d.speaker),
+    fold AS (
+        SELECT recording_id, k, choice AS participant FROM items WHERE k = 1
+        UNION ALL
+        SELECT i.recording_id, i.k, CASE WHEN i.ambiguous AND f.participant IS NOT NULL
+                   AND CASE WHEN f.participant = i.best_pid THEN i.best_val WHEN f.participant = i.top2_pid AND i.top2_val > 0 THEN i.top2_val ELSE 0 END >= 0.92::DOUBLE * i.best_val
+                   THEN f.participant ELSE i.choice END
+        FROM fold f JOIN items i ON i.recording_id = f.recording_id AND i.k = f.k + 1),
+    assigned AS (SELECT i.recording_id, i.seg_idx, i."start", i."end", i.speaker, f.participant, i.ambiguous FROM items i JOIN fold f USING (recording_id, k))"""
 
 
-@query("align_end_to_end")
+@query("align_end_to_end", f"""WITH RECURSIVE {_ALIGN},
+    merged AS (WITH {_merge_sql("assigned", "recording_id", "participant", 30000.0, 'bool_or(ambiguous) AS ambiguous, arg_min(speaker, seg_idx) AS speaker')})
+    SELECT recording_id, seg_idx, "start", "end", speaker, participant, ambiguous FROM merged""")
 def align_end_to_end(spark, sf_dir):
     """The whole alignment: participants are event types, their mouths the clamped values."""
     people_samples = samples(spark, sf_dir).select(
@@ -786,3 +915,76 @@ def run_summary_csv(spark, sf_dir):
     path = f"{shared_folder(spark)}/summary-{uuid.uuid4().hex}"
     sinks.write_csv(run_summary(spark, sf_dir), path)
     return spark.read.option("header", True).schema("file long, segments long, speakers long").csv(path)
+
+
+# Files that are written and read by the real sinks and sources.
+
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("wav_files", """SELECT recording_id, n_samples FROM (SELECT CAST(user_id AS VARCHAR) AS recording_id, count(*) * 800 AS n_samples FROM events GROUP BY user_id)
+    ORDER BY recording_id || '.wav' LIMIT 20""")
+def wav_files(spark, sf_dir):
+    """A folder of recordings, of which a run takes the first by path."""
+    at = scratch(spark, "wav")
+    sinks.write_texts(recordings(spark, sf_dir), lambda row: f"{at}/{row['recording_id']}.wav", "content")
+    found = audio.decoded(audio.list_recordings(spark, at, limit=20))
+    return found.select("recording_id", F.size("samples").cast("long").alias("n_samples"))
+
+
+@query("segment_files", f"""WITH {_HYSTERESIS} SELECT CAST(user_id AS VARCHAR) AS recording_id, row_number() OVER (PARTITION BY user_id ORDER BY seg_idx) - 1 AS seg_idx,
+    round("start", 9) AS "start", round("end", 9) AS "end", 'speaker_' || (seg_idx % 2) AS speaker FROM spoken""")
+def segment_files(spark, sf_dir):
+    """One file for each recording, read again."""
+    at = scratch(spark, "segments")
+    named = rounded(spoken(spark, sf_dir), "start", "end").withColumn("speaker", scalars.speaker_label(F.col("seg_idx") % 2))
+    sinks.write_texts(sinks.segments_json(named.withColumnRenamed("user_id", "recording_id")), lambda row: sinks.output_path(at, str(row["recording_id"]), is_dir=True))
+    return read_segments(spark, at)
+
+
+_FACES = """faces AS (SELECT user_id % 4 AS file, row_number() OVER (PARTITION BY user_id % 4 ORDER BY user_id, event_id) AS n, event_id, event_type,
+                     CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6) AS BIGINT) AS secs, CAST(round(least(value / 50::DOUBLE, 1::DOUBLE), 3) AS FLOAT) AS quality FROM events),
+    typed AS (SELECT file, n, CAST((secs % 86400) AS FLOAT) + CAST(event_id % 1000 AS FLOAT) / 1000 AS t, event_type = 'view' AS is_open, quality, secs FROM faces WHERE event_id % 50 <> 0 AND quality >= 0.2::FLOAT),
+    reset AS (SELECT *, CASE WHEN t < lag(t) OVER (PARTITION BY file ORDER BY n) THEN 1 ELSE 0 END AS turn FROM typed),
+    cut AS (SELECT *, sum(turn) OVER (PARTITION BY file ORDER BY n) AS block FROM reset),
+    named AS (SELECT file, block, row_number() OVER (PARTITION BY file ORDER BY block) AS k FROM cut GROUP BY file, block HAVING count(*) >= 3)"""
+
+
+def workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of four face tables, two of which have other headers, with blank times; times of day go back where a day or user ends."""
+    user = F.col("user_id")
+    order = Window.partitionBy("file").orderBy("user_id", "event_id")
+    quality = F.round(F.least(F.col("value") / 50.0, F.lit(1.0)), 3)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", (user % 4).alias("file"), F.floor(seconds()).alias("secs"), quality.alias("quality"))
+    second, event = F.col("secs") % 86400, F.col("event_id")
+    clock = F.format_string("%02d:%02d:%02d.%03d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60, event % 1000)
+    cells = F.array(F.when(event % 50 == 0, F.lit("")).otherwise(clock), F.col("quality").cast("string"), F.when(F.col("event_type") == "view", "Open").otherwise("Closed"), F.lit("0.5"), F.lit("n/a"), F.lit("1.0"), F.lit("0.25"))
+    rows = events.withColumn("n", F.row_number().over(order)).groupBy("file").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", cells.alias("cells")))), lambda x: x["cells"]).alias("rows"))
+    headers = (("Video Time", "Quality", "Mouth", "AU10", "AU12", "AU25", "AU26"), ("time", "Quality", "Mouth", "Action Unit 10", "Lip Corner Puller", "AU25", "Jaw Drop"))
+
+    def work(batches):
+        for pdf in batches:
+            yield pdf.assign(content=[workbook_bytes([headers[f % 2], *rows]) for f, rows in zip(pdf["file"], pdf["rows"])])[["file", "content"]]
+
+    ship(spark)
+    at = scratch(spark, "workbooks")
+    sinks.write_texts(rows.mapInPandas(work, "file long, content binary"), lambda row: f"{at}/face{row['file']}.xlsx", "content")
+    return at
+
+
+@query("workbook_extract", f"""WITH {_FACES} SELECT 'face' || file AS recording_id, format('participant_{{:02d}}', k) AS participant_block, count(*) AS n_rows, min(t) AS t_min, max(t) AS t_max, round(avg(quality), 6) AS mean_quality
+    FROM cut JOIN named USING (file, block) GROUP BY file, k""")
+def workbook_extract(spark, sf_dir):
+    _, summary = extract(spark, workbooks(spark, sf_dir), ExtractOptions(quality_threshold=0.2, min_block_rows=3))
+    return summary.withColumn("mean_quality", F.round("mean_quality", 6))
+
+
+@query("participant_files", f"""WITH {_FACES} SELECT 'face' || file AS recording_id, format('participant_{{:02d}}', k) AS participant, row_number() OVER (PARTITION BY file, k ORDER BY n) - 1 AS i, t,
+    CAST(0.45 * 1.0 + 0.35 * 0.25 + 0.15 * 0.5 AS FLOAT) AS mouth, CAST(CASE WHEN is_open THEN 1 ELSE 0 END AS FLOAT) AS mouth_open FROM cut JOIN named USING (file, block)""")
+def participant_files(spark, sf_dir):
+    """Extracted participants, written as files and read as the alignment reads them."""
+    blocks, _ = extract(spark, workbooks(spark, sf_dir), ExtractOptions(quality_threshold=0.2, min_block_rows=3))
+    at = scratch(spark, "participants")
+    sinks.write_texts(sinks.participant_csv(blocks), lambda row: f"{at}/{row['recording_id']}/{row['participant']}.csv", "csv")
+    return read_participants(spark, at)

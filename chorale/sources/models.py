@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from typing import Protocol
 
 import numpy as np
+from pyspark.sql import SparkSession
 
 
 class VadScorer(Protocol):
@@ -37,14 +39,22 @@ class PooledEmbedder:
 _SESSIONS: dict[str, object] = {}
 
 
+def distribute(spark: SparkSession, path: str) -> str:
+    """Send a model file (of any file system that Spark knows) to all executors; the name that the scorers find it by."""
+    spark.sparkContext.addFile(path)
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def _session(path: str):
-    """One session per Python worker and file."""
+    """One session per Python worker and file: a path, or the name of a distributed file."""
     if path not in _SESSIONS:
         import onnxruntime
+        from pyspark import SparkFiles
 
         options = onnxruntime.SessionOptions()
         options.intra_op_num_threads = 1
-        _SESSIONS[path] = onnxruntime.InferenceSession(path, options, providers=["CPUExecutionProvider"])
+        at = path if "/" in path or os.path.exists(path) else SparkFiles.get(path)
+        _SESSIONS[path] = onnxruntime.InferenceSession(at, options, providers=["CPUExecutionProvider"])
     return _SESSIONS[path]
 
 
@@ -53,8 +63,13 @@ def describe_model(path: str) -> list[tuple[str, list, str]]:
     return [(i.name, i.shape, i.type) for i in _session(path).get_inputs()]
 
 
-def _feeds(window: np.ndarray) -> dict[str, np.ndarray]:
-    return {"audio_signal": window[None].astype(np.float32), "length": np.array([window.shape[1]], np.int64)}
+def _batched(session) -> bool:
+    """Whether the model takes many windows at once: its first dimension is no fixed number."""
+    return not isinstance(session.get_inputs()[0].shape[0], int)
+
+
+def _feeds(windows: np.ndarray) -> dict[str, np.ndarray]:
+    return {"audio_signal": np.ascontiguousarray(windows, np.float32), "length": np.full(len(windows), windows.shape[2], np.int64)}
 
 
 def speech_of_logits(logits: np.ndarray) -> np.ndarray:
@@ -71,8 +86,15 @@ class OnnxVad:
         self.path = path
 
     def speech(self, windows: np.ndarray) -> np.ndarray:
+        """All windows in one call where the model allows it and answers with (batch, frames, 2) or (batch, 2)."""
         session = _session(self.path)
-        return np.stack([speech_of_logits(session.run(None, _feeds(w))[0]) for w in windows])
+        if _batched(session):
+            logits = session.run(None, _feeds(windows))[0]
+            logits = logits[:, None] if logits.ndim == 2 else logits
+            if logits.ndim != 3 or logits.shape[0] != len(windows) or logits.shape[2] != 2:
+                raise ValueError(f"the model must return (batch, frames, 2) or (batch, 2), not {logits.shape}")
+            return 1 / (1 + np.exp(logits[:, :, 0] - logits[:, :, 1]))
+        return np.stack([speech_of_logits(session.run(None, _feeds(w[None]))[0]) for w in windows])
 
 
 class OnnxEmbedder:
@@ -80,13 +102,14 @@ class OnnxEmbedder:
         self.path = path
 
     def embed(self, windows: np.ndarray) -> np.ndarray:
-        session, out = _session(self.path), []
-        for w in windows:
-            found = session.run(None, _feeds(w))[-1]  # the last output is the vector
-            if found.ndim != 2 or found.shape[0] != 1:
-                raise ValueError(f"the model must return (1, size), not {found.shape}")
-            out.append(found[0])
-        return np.stack(out)
+        """The last output is the vector of each window; all windows go in one call where the model allows it."""
+        session = _session(self.path)
+        parts = [windows] if _batched(session) else [w[None] for w in windows]
+        found = [session.run(None, _feeds(part))[-1] for part in parts]
+        for part, vectors in zip(parts, found):
+            if vectors.ndim != 2 or len(vectors) != len(part):
+                raise ValueError(f"the model must return (batch, size), not {vectors.shape}")
+        return np.concatenate(found)
 
 
 def sliding_speech(mel: np.ndarray, scorer: VadScorer, window: int = 63, shift: int = 1, smoothing: str = "none", overlap: float = 0.5) -> np.ndarray:

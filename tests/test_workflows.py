@@ -147,21 +147,6 @@ def test_participant_files(spark, tmp_path):
         tables.read_participants(spark, str(tmp_path)).collect()
 
 
-def workbook(rows):
-    def cell(r, c, v):
-        ref = f"{chr(65 + c)}{r + 1}"
-        return f'<c r="{ref}"><v>{v}</v></c>' if isinstance(v, (int, float)) else f'<c r="{ref}" t="inlineStr"><is><t>{v}</t></is></c>'
-
-    body = "".join(f'<row r="{r + 1}">' + "".join(cell(r, c, v) for c, v in enumerate(row) if v is not None) + "</row>" for r, row in enumerate(rows))
-    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="Data" sheetId="1" r:id="r1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
-    return out.getvalue()
-
-
 def clock(t):
     return f"00:{int(t) // 60:02d}:{int(t) % 60:02d}.{int(round(t * 1000)) % 1000:03d}"
 
@@ -173,14 +158,55 @@ def test_extract_end_to_end(spark, tmp_path):
         rows += [[clock(i * 0.5), "note", 0.9, "Open" if i % 2 else "closed", 0.1, 0.2, "n/a", 1.0] for i in range(n)]
     rows[2][2] = 0.1  # below the quality threshold
     rows.append([None, None, 1.0])
-    (tmp_path / "face.xlsx").write_bytes(workbook(rows))
+    (tmp_path / "face.xlsx").write_bytes(tables.workbook_bytes(rows))
     blocks, summary = extract(spark, str(tmp_path), ExtractOptions(min_block_rows=3))
     got = {r["participant_block"]: r for r in summary.collect()}
     assert {k: r["n_rows"] for k, r in got.items()} == {"participant_01": 4, "participant_02": 4}
     assert got["participant_01"]["t_max"] == 2.0
     assert blocks.first()["mouth_score_raw"] == pytest.approx(0.35 + 0.015 + 0.01)
     with pytest.raises(ValueError):
-        list(tables.read_sheet(workbook(rows), "Other"))
+        list(tables.read_sheet(tables.workbook_bytes(rows), "Other"))
+
+
+def test_workbooks_with_other_headers(spark, tmp_path):
+    first = [["Video Time", "Time", "Quality", "Mouth", "AU10", "AU12", "AU25", "AU26"]] + [[clock(i * 0.5), "9:9:9.000", 0.9, "Open", 0, 0, 1.0, 0] for i in range(4)]
+    first.append([None, "0:00:05.000", 0.9, "Open", 0, 0, 1.0, 0])  # blank where the preferred column is
+    second = [["time", "QUALITY", "Mouth", "Action Unit 10", "AU12", "Lips Part", "Jaw Drop"]] + [[clock(i * 0.5), 0.9, "closed", 0, 0, 2.0, 0] for i in range(3)]
+    (tmp_path / "a.xlsx").write_bytes(tables.workbook_bytes(first))
+    (tmp_path / "b.xlsx").write_bytes(tables.workbook_bytes(second))
+    blocks, summary = extract(spark, str(tmp_path), ExtractOptions(min_block_rows=2))
+    assert {r["recording_id"]: (r["n_rows"], r["t_max"]) for r in summary.collect()} == {"a": (4, 1.5), "b": (3, 1.0)}
+    assert {r["recording_id"]: round(r["mouth_score_raw"], 4) for r in blocks.collect()} == {"a": 0.45, "b": 0.9}
+
+
+def test_extracted_participants_are_aligned(spark, tmp_path):
+    """Workbooks to participant files to aligned segments on the command line, for two recordings with the same participant names."""
+    for n, rec in enumerate(("x y", "z")):
+        rows = [["Time", "Quality", "Mouth", "AU10", "AU12", "AU25", "AU26"]]
+        for k in range(2):
+            for i in range(300):
+                active = int(i * 0.04 // 3) % 2 == (k + n) % 2
+                rows.append([clock(i * 0.04), 0.9, "Open" if active and i % 3 else "closed", 0, 0, float(1 + np.sin(i * 1.3)) if active else 0.0, 0])
+        (tmp_path / "books").mkdir(exist_ok=True)
+        (tmp_path / "books" / f"{rec}.xlsx").write_bytes(tables.workbook_bytes(rows))
+        (tmp_path / "said").mkdir(exist_ok=True)
+        (tmp_path / "said" / f"{rec}_segments.json").write_text(json.dumps([{"start": 3.0 * i, "end": 3.0 * i + 3, "speaker": f"speaker_{i % 2}"} for i in range(4)]))
+    people, out = str(tmp_path / "people"), tmp_path / "aligned"
+    cli.main(["extract", "--workbooks", str(tmp_path / "books"), "--out", people])
+    cli.main(["align", "--segments", str(tmp_path / "said"), "--participants-dir", people, "--out", str(out), "--use-global-map", "--smooth-ms", "0"])
+    for n, rec in enumerate(("x y", "z")):
+        got = json.loads((out / rec / "aligned_segments.json").read_text())
+        assert [r["participant"] for r in got] == [f"participant_0{1 + (i + n) % 2}" for i in range(4)]
+        assert set(json.loads((out / rec / "speaker_to_participant.json").read_text())) == {"speaker_0", "speaker_1"}
+    found = tables.read_participants(spark, people).groupBy("recording_id", "participant").count().collect()
+    assert {(r[0], r[1], r[2]) for r in found} == {(rec, f"participant_0{k}", 300) for rec in ("x y", "z") for k in (1, 2)}
+
+
+def test_segments_without_participants(spark):
+    segments = spark.createDataFrame([("q", 0, 0.0, 5.0, "speaker_0"), ("r", 0, 0.0, 5.0, "speaker_0")], "recording_id string, seg_idx long, start double, end double, speaker string")
+    got = {r["recording_id"]: r for r in align(segments, face_samples(spark), AlignOptions(smooth_ms=0.0)).aligned.collect()}
+    assert got["q"]["participant"] is None and got["q"]["ambiguous"] and got["q"]["reason"] == "missing_debug_row"
+    assert got["r"]["participant"] == "a" and got["r"]["reason"] is None
 
 
 def face_samples(spark, rec="r"):
@@ -231,6 +257,63 @@ def test_command_line(spark, tmp_path):
     assert options.min_seg == 2 and options.onset == 0.95 and options.windows == DiarizeOptions().windows
 
 
+def message(*fields) -> bytes:
+    """Fields (number, value) in the wire format of protocol buffers: integers, bytes, texts and lists of packed integers."""
+
+    def number(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    out = b""
+    for field, value in fields:
+        if isinstance(value, int):
+            out += number(field << 3) + number(value)
+        else:
+            raw = value.encode() if isinstance(value, str) else b"".join(map(number, value)) if isinstance(value, list) else value
+            out += number(field << 3 | 2) + number(len(raw)) + raw
+    return out
+
+
+def onnx_model(nodes, output, shape, batch) -> bytes:
+    """A model with the inputs audio_signal and length; a dimension is a number or a name."""
+    dim = lambda d: (1, message((1, d) if isinstance(d, int) else (2, d)))
+    tensor = lambda name, kind, dims: message((1, name), (2, message((1, message((1, kind), (2, message(*map(dim, dims))))))))
+
+    def node(op, inputs, result, ints=(), flags=()):
+        attributes = [(5, message((1, k), *[(8, v) for v in vs], (20, 7))) for k, vs in ints] + [(5, message((1, k), (3, v), (20, 2))) for k, v in flags]
+        return message(*[(1, x) for x in inputs], (2, result), (4, op), *attributes)
+
+    graph = message(*[(1, node(*n)) for n in nodes], (2, "g"), (11, tensor("audio_signal", 1, (batch, 80, "frames"))), (11, tensor("length", 7, (batch,))), (12, tensor(output, 1, shape)))
+    return message((1, 7), (7, graph), (8, message((1, ""), (2, 13))))
+
+
+@pytest.mark.parametrize("batch", ["batch", 1])
+def test_onnx_models_run(spark, tmp_path, batch):
+    pytest.importorskip("onnxruntime")
+    # The mean of the bands and its negative as logits; the mean of the frames as the vector.
+    vad = [("ReduceMean", ["audio_signal"], "m", [("axes", [1])], [("keepdims", 1)]), ("Transpose", ["m"], "x", [("perm", [0, 2, 1])]), ("Neg", ["x"], "y"), ("Concat", ["y", "x"], "logits", (), [("axis", 2)])]
+    spk = [("ReduceMean", ["audio_signal"], "vec", [("axes", [2])], [("keepdims", 0)])]
+    (tmp_path / f"vad{batch}.onnx").write_bytes(onnx_model(vad, "logits", (batch, "frames", 2), batch))
+    (tmp_path / f"spk{batch}.onnx").write_bytes(onnx_model(spk, "vec", (batch, 80), batch))
+    windows = np.random.default_rng(0).normal(size=(5, 80, 7)).astype(np.float32)
+    scorer, embedder = models.OnnxVad(str(tmp_path / f"vad{batch}.onnx")), models.OnnxEmbedder(str(tmp_path / f"spk{batch}.onnx"))
+    assert scorer.speech(windows) == pytest.approx(1 / (1 + np.exp(-2 * windows.mean(1))), abs=1e-5)
+    assert embedder.embed(windows) == pytest.approx(windows.mean(2), abs=1e-5)
+    assert [i[0] for i in models.describe_model(scorer.path)] == ["audio_signal", "length"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.wav").write_bytes(wav(talk()))
+    shipped = models.OnnxVad(models.distribute(spark, scorer.path)), models.OnnxEmbedder(models.distribute(spark, embedder.path))
+    recordings = audio.list_recordings(spark, str(tmp_path / "in"))
+    options = DiarizeOptions(onset=0.3, offset=0.2, min_silence=0.3, vad_window=0.1, subseg_win=1.0, subseg_shift=1.0)
+    p = [r["p"] for r in speech_probabilities(recordings, shipped[0], options).orderBy("frame_idx").collect()]
+    mel = audio.log_mel(audio.decode_wav(wav(talk())))
+    assert len(p) == len(mel) and p[50] == pytest.approx(1 / (1 + np.exp(-2 * mel[41:60].mean())), abs=0.05)
+    found = diarize(recordings, *shipped, DiarizeOptions(onset=1e-6, offset=1e-6, min_silence=0.3, vad_window=0.1, subseg_win=1.0, subseg_shift=1.0, threshold=0.0)).collect()
+    assert found
+
+
 def test_streaming_equals_batch(spark, tmp_path):
     from chorale.operators.ordered import hysteresis_segments
     from chorale.streaming.sessions import hysteresis_stream
