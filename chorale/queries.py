@@ -796,15 +796,6 @@ def vad_model(spark, sf_dir):
 _OPTIONS = DiarizeOptions(onset=0.6, offset=0.4, min_silence=0.1, vad_window=0.1, windows=(0.3, 0.2), shifts=(0.15, 0.1), subseg_win=0.3, subseg_shift=0.15, threshold=0.3)
 
 
-@query("speaker_embeddings")
-def speaker_embeddings(spark, sf_dir):
-    audio_files = recordings(spark, sf_dir)
-    probs = diarization.speech_probabilities(audio_files, options=_OPTIONS)
-    spans = ordered.subsegments(ordered.hysteresis_segments(probs, REC, 0.01, 0.6, 0.4, min_silence=0.1), REC, 0.3, 0.15)
-    found = diarization.embeddings(audio_files, spans, options=_OPTIONS)
-    return found.select("recording_id", "sub_idx", F.size("vec").alias("size"))
-
-
 #: Bands (Hz) of the two voices.
 VOICES = ((100, 1500), (2000, 7500))
 
@@ -826,22 +817,60 @@ _TURNS = """turns AS (
     WHERE k < 6)"""
 
 
-@query("diarize_end_to_end", f"""WITH {_TURNS}, firsts AS (SELECT recording_id, min(k) FILTER (WHERE voice = 0) AS a, min(k) FILTER (WHERE voice = 1) AS b FROM turns GROUP BY recording_id)
-    SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY k) - 1 AS seg_idx, CAST(2 * k + 1 AS DOUBLE) AS "start", CAST(2 * k + 2 AS DOUBLE) AS "end",
-           CASE WHEN voice = 0 THEN CASE WHEN b < a THEN 'speaker_1' ELSE 'speaker_0' END ELSE CASE WHEN a < b THEN 'speaker_1' ELSE 'speaker_0' END END AS speaker
-    FROM turns JOIN firsts USING (recording_id)""")
-def diarize_end_to_end(spark, sf_dir):
-    """Recordings of six turns of two voices; SQL knows who spoke when.  Times are shown in quarters of a second."""
+def talk_recordings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(recording_id, content), and the turns (recording_id, frame_idx, voice) in them."""
     ship(spark)
     voice = F.when(F.col("event_type").isin("click", "view"), F.lit(0)).otherwise(F.lit(1))
-    turns = frames(spark, sf_dir).where("frame_idx < 6").groupBy(F.col("user_id").cast("string").alias("recording_id")).agg(F.array_sort(F.collect_list(F.struct("frame_idx", voice.alias("voice")))).alias("turns"))
+    turns = frames(spark, sf_dir).where("frame_idx < 6").select(F.col("user_id").cast("string").alias("recording_id"), "frame_idx", voice.alias("voice"))
+    listed = turns.groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("frame_idx", "voice"))).alias("turns"))
 
     def work(batches):
         for pdf in batches:
             yield pdf.assign(content=[talk_of([t["voice"] for t in turns]) for turns in pdf["turns"]])[["recording_id", "content"]]
 
+    return staged(listed.mapInPandas(work, "recording_id string, content binary")), turns
+
+
+def sound_classes(turns: DataFrame) -> DataFrame:
+    """The middle half of each second (recording_id, sub_idx, start, end) and what is heard: 2 for silence, else the voice."""
+    each = F.explode(F.array(F.struct((2 * F.col("frame_idx")).alias("sub_idx"), F.lit(2).alias("heard")), F.struct((2 * F.col("frame_idx") + 1).alias("sub_idx"), F.col("voice").alias("heard")))).alias("s")
+    return turns.select("recording_id", each).select("recording_id", "s.sub_idx", (F.col("s.sub_idx") + 0.25).alias("start"), (F.col("s.sub_idx") + 0.75).alias("end"), "s.heard")
+
+
+_HEARD = f"""WITH {_TURNS} SELECT recording_id, 2 * k AS sub_idx, 2 AS heard FROM turns UNION ALL SELECT recording_id, 2 * k + 1, voice FROM turns"""
+
+
+@query("speaker_embeddings", _HEARD)
+def speaker_embeddings(spark, sf_dir):
+    """Each half-second's vector and the nearest mean of the vectors of silence and of each voice: SQL knows which it has to be."""
+    talks, turns = talk_recordings(spark, sf_dir)
+    classes = sound_classes(turns)
+    found = staged(diarization.embeddings(talks, classes, options=_OPTIONS).join(classes.select("recording_id", "sub_idx", "heard"), ["recording_id", "sub_idx"]))
+    means = vectors.vector_mean(found, ["recording_id", "heard"]).select("recording_id", F.col("heard").alias("near"), F.col("vec").alias("mean"))
+    apart = found.join(means, "recording_id").withColumn("d", scalars.cosine_distance(F.col("vec"), F.col("mean")))
+    return apart.groupBy("recording_id", "sub_idx").agg(F.min_by("near", F.struct("d", "near")).alias("heard"))
+
+
+@query("mel_levels", _HEARD)
+def mel_levels(spark, sf_dir):
+    """What the mean log-mel of each half-second tells: silence is low everywhere, and a voice is loud in its own bands."""
+    talks, turns = talk_recordings(spark, sf_dir)
+    at, middle = F.floor(F.col("frame_idx") / 100), F.col("frame_idx") % 100
+    half = lambda first, n: F.aggregate(F.slice("feats", first, n), F.lit(0.0), lambda a, x: a + x) / n
+    levels = audio.mel_frames(talks).where((middle >= 25) & (middle < 75)).groupBy("recording_id", at.alias("sub_idx")).agg(F.avg(half(1, 40)).alias("low"), F.avg(half(46, 35)).alias("high"))
+    heard = F.when(F.greatest("low", "high") < -5, 2).when(F.col("low") > F.col("high"), 0).otherwise(1)
+    return levels.where("sub_idx < 12").select("recording_id", "sub_idx", heard.alias("heard"))
+
+
+@query("diarize_end_to_end", f"""WITH {_TURNS}, firsts AS (SELECT recording_id, min(k) FILTER (WHERE voice = 0) AS a, min(k) FILTER (WHERE voice = 1) AS b FROM turns GROUP BY recording_id)
+    SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY k) - 1 AS seg_idx, CAST(2 * k + 1 AS DOUBLE) AS "start", CAST(2 * k + 2 AS DOUBLE) AS "end",
+           CASE WHEN voice = 0 THEN CASE WHEN b < a THEN 'speaker_1' ELSE 'speaker_0' END ELSE CASE WHEN a < b THEN 'speaker_1' ELSE 'speaker_0' END END AS speaker
+    FROM turns JOIN firsts USING (recording_id)""")
+def diarize_end_to_end(spark, sf_dir):
+    """Recordings of six turns of two voices; SQL knows who spoke when.  Times are shown in quarters of a second."""
+    talks, _ = talk_recordings(spark, sf_dir)
     options = DiarizeOptions(onset=0.6, offset=0.4, min_silence=0.3, vad_window=0.1, windows=(0.5, 0.3), shifts=(0.25, 0.15), subseg_win=0.5, subseg_shift=0.25, merge_gap=0.25, min_seg=0.4, threshold=0.3)
-    found = diarization.diarize(staged(turns.mapInPandas(work, "recording_id string, content binary")), options=options)
+    found = diarization.diarize(talks, options=options)
     quarter = lambda c: (F.round(F.col(c) * 4) / 4).alias(c)
     order = Window.partitionBy("recording_id").orderBy("start")
     return found.select("recording_id", (F.row_number().over(order) - 1).cast("long").alias("seg_idx"), quarter("start"), quarter("end"), "speaker")

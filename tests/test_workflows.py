@@ -94,6 +94,54 @@ def test_sliding_speech_by_brute_force():
         assert len(models.sliding_speech(mel, Single(), 5, smoothing=how)) == 20
 
 
+def test_mel_by_plain_sums():
+    x = audio.decode_wav(wav(tone(0.1, 200, 3000, 4)))
+    mel = audio.log_mel(x, dither=0.0)
+    assert mel.shape == (8, 80)
+    top = 2595 * np.log10(1 + 8000 / 700)
+    edges = [700 * (10 ** (k * top / 81 / 2595) - 1) for k in range(82)]
+    for f in (0, 5):
+        frame = [x[160 * f + i] * (0.5 - 0.5 * np.cos(2 * np.pi * i / 400)) for i in range(400)]
+        power = [abs(sum(v * np.exp(-2j * np.pi * k * i / 512) for i, v in enumerate(frame))) ** 2 for k in range(257)]
+        for band in (0, 7, 40, 79):
+            low, mid, high = edges[band : band + 3]
+            total = sum(p * max(0, min((k * 31.25 - low) / (mid - low), (high - k * 31.25) / (high - mid))) for k, p in enumerate(power))
+            assert mel[f, band] == pytest.approx(np.log10(max(total, 1e-9)), abs=1e-3)
+
+
+@pytest.mark.parametrize("smoothing", ["none", "mean", "median"])
+def test_scores_of_tables_and_of_arrays_agree(spark, smoothing):
+    """The form for tables (with SQL of its own) and the one that runs beside the model."""
+    from chorale.operators import ordered
+
+    class Single:
+        def speech(self, windows):
+            return windows.mean((1, 2))[:, None]
+
+    mel = np.random.default_rng(5).random((90, 3)).astype(np.float32)
+    beside = models.sliding_speech(mel, Single(), 7, smoothing=smoothing, overlap=0.5)
+    windows = spark.createDataFrame([("r", i, float(mel[i : i + 7].mean())) for i in range(84)], "recording_id string, win_idx long, p double")
+    lengths = spark.createDataFrame([("r", 90)], "recording_id string, n_frames long")
+    table = ordered.overlap_average(windows, ["recording_id"], 7, lengths) if smoothing == "none" else ordered.overlap_smooth(windows, ["recording_id"], 7, 0.5, smoothing, lengths)
+    assert [r["p"] for r in table.orderBy("frame_idx").collect()] == pytest.approx(beside, abs=1e-6)
+
+
+def test_windows_of_tables_and_of_arrays_agree(spark):
+    from chorale.operators import ordered
+
+    class Seen:
+        def embed(self, windows):
+            seen.append([(int(w[0, 0]), w.shape[1]) for w in windows])
+            return windows.mean(2)
+
+    for n in (3, 10, 17):
+        seen, mel = [], np.repeat(np.arange(n, dtype=float)[:, None], 2, 1)
+        models.embed_scales(mel, Seen(), (8, 4), (3, 2), (1.0, 1.0))
+        subs = spark.createDataFrame([("r", 0, 0, n)], "recording_id string, sub_idx long, first long, n_frames long")
+        rows = ordered.scale_windows(subs, ["recording_id"], (0.08, 0.04), (0.03, 0.02)).orderBy("scale", "offset").collect()
+        assert [(r["offset"], r["win"]) for r in rows] == [w for scale in seen for w in scale]
+
+
 def test_model_outputs_are_checked():
     assert models.speech_of_logits(np.zeros((3, 2))).tolist() == [0.5] * 3
     assert models.speech_of_logits(np.zeros((1, 3, 2))).shape == (3,)
