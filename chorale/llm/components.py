@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .shared import checkpointed
 
-#: Rounds after which something must be wrong: the rounds needed grow with the logarithm of a component's size.
-MAX_ROUNDS = 60
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -27,19 +24,18 @@ def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) to one row (node, root) per node that has an edge; the root is the least node reachable.
 
     Loops and edges in either direction are allowed.  Each round is checkpointed in the shared folder; only a count and a
-    checksum of the edges reach the driver.
+    checksum of the edges reach the driver.  Rounds go on until nothing changes, which takes about the logarithm of the largest
+    component's size.
     """
     ends = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     current = checkpointed(ends)
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         mark = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == seen or mark[0] == 0:
             break
         seen = mark
         current = checkpointed(_small_star(_large_star(current)))
-    else:
-        raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     # At the fixed point every edge leads from the least node of its component.
     roots = current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     return current.select(F.col("b").alias("node"), F.col("a").alias("root")).union(roots)

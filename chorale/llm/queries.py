@@ -12,7 +12,7 @@ from .bpe import bpe_encode
 from .decontam import find_leaks
 from .langid import held_out, learn, predict
 from .license_scan import CUES, MIN_COSINE, TEMPLATES, WINDOWS, scan_licenses
-from .pii import count_of, find_pii, spans_text
+from .pii import CONTEXT, KINDS, count_of, find_pii, spans_text
 from .quality import METRICS, apply_rules
 from .shard_sort import histogram_shards
 from .shared import table, text_of
@@ -200,6 +200,27 @@ _CUES = CUES.replace("'", "''")
 _TERM_GAP = r"[^a-z0-9.]+"
 _WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
+
+
+def _found(k: int, kind: str, pattern: str, ends: str = "") -> str:
+    """Matches of a kind (r, k, kind, m, start, b): the text, where it is, and what lies before it back to the last one.
+
+    With ``ends`` the pattern finds whole runs of characters, of which those that match ``ends`` count.
+    """
+    return f"""
+        SELECT r, {k} AS k, '{kind}' AS kind, m, s AS start, substr(text, coalesce(lag(s + length(m)) OVER (PARTITION BY r ORDER BY s), 0) + 1, s - coalesce(lag(s + length(m)) OVER (PARTITION BY r ORDER BY s), 0)) AS b
+        FROM (
+            SELECT r, text, m, CAST(sum(length(b) + length(m)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT) AS s
+            FROM (SELECT r, text, unnest(ms) AS m, unnest(bs[: len(ms)]) AS b, unnest(range(len(ms))) AS i
+                  FROM (SELECT r, text, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS bs FROM d WHERE regexp_matches(text, '{pattern}'))))
+        {f"WHERE regexp_matches(m, '{ends}')" if ends else ""}"""
+
+
+def _context(kind: str) -> str:
+    words = next(k.words for k in KINDS if k.name == kind)
+    return f"regexp_matches(lower(right(b, {CONTEXT})), '(^|[^a-z])(?:{words})')"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisit_asof": rf"""
         WITH base AS (
@@ -261,6 +282,48 @@ ORACLE_SQL: dict[str, str] = {
         FROM parts p
         LEFT JOIN fits r ON r.page_id = p.page_id AND r.says <> 'listed' AND r.n = 1
         LEFT JOIN fits l ON l.page_id = p.page_id AND l.says = 'listed' AND l.n = 1""",
+    "op5_checked_pii_spans": rf"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        raw AS ({_found(0, "email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+")}
+            UNION ALL {_found(1, "ip", "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)")}
+            UNION ALL {_found(2, "card", "[0-9]([ -]?[0-9])+")}
+            UNION ALL {_found(3, "phone", "[+][0-9][ ().0-9-]+[0-9]")}
+            UNION ALL {_found(5, "ssn", "[A-Za-z0-9-]+", ends="^[0-9]{3}-[0-9]{2}-[0-9]{4}$")}
+            UNION ALL {_found(6, "secret", "[A-Za-z0-9]+", ends="^[0-9a-f]{32,64}$")}),
+        begins AS ({_found(4, "iban", "[A-Za-z0-9]+", ends="^[A-Z]{2}[0-9]{2}")}),
+        ibans AS (
+            SELECT r, start, m, row_number() OVER (PARTITION BY r ORDER BY start) AS n
+            FROM (SELECT r, text, start, regexp_extract(substr(text, start + 1), '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}') AS m FROM begins JOIN d USING (r))
+            WHERE m <> '' AND NOT regexp_matches(substr(text, start + length(m) + 1, 1), '[A-Za-z0-9]')),
+        apart(r, n, start, m, upto, taken) AS (
+            SELECT r, n, start, m, start + length(m), true FROM ibans WHERE n = 1
+            UNION ALL
+            SELECT i.r, i.n, i.start, i.m, CASE WHEN i.start >= a.upto THEN i.start + length(i.m) ELSE a.upto END, i.start >= a.upto FROM apart a JOIN ibans i ON i.r = a.r AND i.n = a.n + 1),
+        moved AS (SELECT r, start, m, regexp_extract(replace(m, ' ', ''), '^.{{4}}(.*)$', 1) || substr(replace(m, ' ', ''), 1, 4) AS t FROM apart WHERE taken),
+        mod97(r, start, m, t, i, rest) AS (
+            SELECT r, start, m, t, 0, 0 FROM moved
+            UNION ALL
+            SELECT r, start, m, t, i + 1, CASE WHEN substr(t, i + 1, 1) BETWEEN '0' AND '9' THEN (rest * 10 + ascii(substr(t, i + 1, 1)) - 48) % 97 ELSE (rest * 100 + ascii(substr(t, i + 1, 1)) - 55) % 97 END
+            FROM mod97 WHERE i < length(t)),
+        digits AS (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS ds FROM raw),
+        spans AS (
+            SELECT r, k, kind, start, start + length(m) AS stop FROM digits
+            WHERE CASE kind
+                WHEN 'email' THEN true
+                WHEN 'ip' THEN list_bool_and(list_transform(string_split(m, '.'), lambda x: coalesce(TRY_CAST(x AS BIGINT) <= 255, false)))
+                WHEN 'card' THEN length(ds) BETWEEN 16 AND 19 AND list_sum(list_transform(range(length(ds)), lambda j:
+                    CAST(substr(ds, length(ds) - j, 1) AS INTEGER) * (1 + j % 2) - CASE WHEN j % 2 = 1 AND substr(ds, length(ds) - j, 1) > '4' THEN 9 ELSE 0 END)) % 10 = 0
+                WHEN 'phone' THEN length(ds) BETWEEN 8 AND 15
+                WHEN 'ssn' THEN NOT regexp_matches(m, '^(?:000|666|9..)|-00-|-0000$') AND {_context("ssn")}
+                ELSE {_context("secret")} END
+            UNION ALL SELECT r, 4, 'iban', start, start + length(m) FROM mod97 WHERE i = length(t) AND rest = 1),
+        listed AS (
+            SELECT r, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) AS spans, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) FILTER (WHERE k < 4) AS base,
+                   count(*) FILTER (WHERE k = 0) AS n_email, count(*) FILTER (WHERE k = 1) AS n_ip, count(*) FILTER (WHERE k = 2) AS n_card, count(*) FILTER (WHERE k = 3) AS n_phone
+            FROM spans GROUP BY r)
+        SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN listed USING (r)""",
     "op6_host_quality_rules": rf"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
