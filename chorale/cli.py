@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .config import CLI_ALIGN, PRESETS, DiarizeOptions, ExtractOptions, parse_floats
+from .sources.audio import ANY_WAV
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,7 +22,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--spk", help="ONNX file of the speaker model")
     d.add_argument("--preset", choices=sorted(PRESETS))
     d.add_argument("--limit", type=int)
-    d.add_argument("--pattern", default="*.wav")
+    d.add_argument("--pattern", default=ANY_WAV)
     d.add_argument("--copy-out", help="a folder for a second copy of the segment files")
     e = modes.add_parser("extract", help="face-table workbooks to participant tables")
     e.add_argument("--workbooks", required=True)
@@ -76,8 +77,8 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_texts(sinks.segments_json(found), lambda row: sinks.output_path(args.out, row["recording_id"], is_dir=not single))
         if not single:
             sinks.write_csv(sinks.run_summary(found).orderBy("file").coalesce(1), f"{args.out.rstrip('/')}/run_summary")
-            if args.copy_out:
-                sinks.write_texts(sinks.segments_json(found), lambda row: sinks.output_path(args.copy_out, row["recording_id"], is_dir=True))
+        if args.copy_out:
+            sinks.write_texts(sinks.segments_json(found), lambda row: sinks.output_path(args.copy_out, row["recording_id"], is_dir=True))
         for row in diagnostics(probs, found).orderBy("recording_id").toLocalIterator():
             print(
                 f"{row['recording_id']}: {row['n_frames']} frames, p {row['p_min']:.3f} to {row['p_max']:.3f}, mean {row['p_mean']:.3f}; "

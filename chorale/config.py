@@ -26,6 +26,8 @@ def scale_lists(windows, shifts, weights) -> tuple[tuple[float, ...], tuple[floa
     return windows, shifts, weights if len(weights) == len(windows) else (1.0,) * len(windows)
 
 
+# The defaults of the options of the three workflows, and the presets below.
+
 @dataclass(frozen=True)
 class DiarizeOptions:
     onset: float = 0.9

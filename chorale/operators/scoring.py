@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a block of the assignment fold.
+FOLD_BLOCK = 256
+
 
 def top_three(scores: DataFrame, by: list[str], item: str, ordinal: str, value: str) -> DataFrame:
     """One row per group with the three best items and their values (null where there are fewer); ties by ordinal."""
@@ -75,8 +78,17 @@ def sticky_assign(rows: DataFrame, keys: list[str], stick_ratio: float) -> DataF
         return F.struct(chosen.alias("prev"), F.concat(acc["out"], F.array(F.struct(x["seg_idx"].alias("seg_idx"), chosen.alias("participant")))).alias("out"))
 
     out_type = f"array<struct<seg_idx:{rows.schema['seg_idx'].dataType.simpleString()},participant:string>>"
-    first = F.struct(F.lit(None).cast("string").alias("prev"), F.array().cast(out_type).alias("out"))
-    chosen = gathered.select(*keys, F.explode(F.aggregate("__items", first, step, lambda acc: acc["out"])).alias("__c"))
+    none = F.array().cast(out_type)
+
+    def block_step(acc: Column, block: Column) -> Column:
+        # An array that grows is copied each time, so a block's results are one element of the outer array.
+        done = F.aggregate(block, F.struct(acc["prev"].alias("prev"), none.alias("out")), step)
+        return F.get(F.transform(F.array(done), lambda d: F.struct(d["prev"].alias("prev"), F.concat(acc["out"], F.array(d["out"])).alias("out"))), F.lit(0))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size("__items") - 1) / FOLD_BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda b: F.slice("__items", b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK)))
+    first = F.struct(F.lit(None).cast("string").alias("prev"), F.array().cast(f"array<{out_type}>").alias("out"))
+    chosen = gathered.select(*keys, F.explode(F.flatten(F.aggregate(blocks, first, block_step, lambda acc: acc["out"]))).alias("__c"))
     return rows.join(chosen.select(*keys, "__c.seg_idx", "__c.participant"), [*keys, "seg_idx"])
 
 

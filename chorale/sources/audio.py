@@ -19,12 +19,18 @@ from ..shipping import ship
 N_FFT, N_MELS, FRAME_SECONDS, HOP_SECONDS, LOG_FLOOR, DITHER = 512, 80, 0.025, 0.010, 1e-9, 1e-5
 
 
-def list_recordings(spark: SparkSession, path: str, pattern: str = "*.wav", limit: int | None = None) -> DataFrame:
+#: WAV files, whatever the case of their ending.
+ANY_WAV = "*.[wW][aA][vV]"
+
+
+def list_recordings(spark: SparkSession, path: str, pattern: str = ANY_WAV, limit: int | None = None) -> DataFrame:
     """(recording_id, path, content) of the WAV files under a folder (or one file), the first ``limit`` by path.
 
     The id is the file's name without its ending.
     """
-    if path.rstrip("/").rsplit("/", 1)[-1].count(".") and not path.lower().endswith(".wav"):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not path.lower().endswith(".wav") and files.exists(at) and files.getFileStatus(at).isFile():
         raise ValueError("only .wav files can be read")
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     files = files.where(F.lower("path").endswith(".wav"))

@@ -113,3 +113,25 @@ def test_vectors(spark):
     assert vectors.silhouette(same, ["recording_id"], "sub_idx", "label").first()["silhouette"] == -1
     assert one(spark, scalars.cosine_distance(F.array(F.lit(0.0)), F.array(F.lit(1.0)))) == 1
     assert one(spark, scalars.speech_probability(F.lit(0.0), F.lit(0.0))) == 0.5
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_sticky_assignment_is_a_fold(spark, monkeypatch, block):
+    import random
+
+    monkeypatch.setattr(scoring, "FOLD_BLOCK", block)
+    rng, rows = random.Random(0), []
+    for r in range(3):
+        for i in range(60):
+            best, second = rng.sample("abc", 2)
+            value = rng.random()
+            rows.append((r, i, rng.choice([best, "c"]), rng.random() < 0.6, best, value, second, value * rng.random()) if rng.random() < 0.9 else (r, i, None, True, None, None, None, None))
+    df = spark.createDataFrame(rows, "r int, seg_idx long, choice string, ambiguous boolean, best_pid string, best_val double, top2_pid string, top2_val double")
+    got = {(x["r"], x["seg_idx"]): x["participant"] for x in scoring.sticky_assign(df, ["r"], 0.6).collect()}
+    for r in range(3):
+        held = None
+        for _, i, choice, ambiguous, best, value, second, other in (x for x in rows if x[0] == r):
+            if best is not None:
+                here = value if held == best else other if held == second and other > 0 else 0.0
+                held = held if ambiguous and held is not None and here >= 0.6 * value else choice
+            assert got[r, i] == held

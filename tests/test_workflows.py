@@ -154,8 +154,10 @@ def test_model_outputs_are_checked():
 
 def test_diarize_end_to_end(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(wav(talk()))
-    (tmp_path / "b.wav").write_bytes(wav(np.zeros(2 * RATE)))
+    (tmp_path / "b.WAV").write_bytes(wav(np.zeros(2 * RATE)))
     (tmp_path / "note.txt").write_text("x")
+    with pytest.raises(ValueError):
+        audio.list_recordings(spark, str(tmp_path / "note.txt"))
     recordings = audio.list_recordings(spark, str(tmp_path))
     assert audio.list_recordings(spark, str(tmp_path), limit=1).count() == 1
     assert audio.decoded(recordings).count() == 2 and audio.mel_frames(recordings).where("recording_id = 'a'").count() == 998
@@ -286,12 +288,14 @@ def test_align_without_segments(spark):
     assert align(none, face_samples(spark)).aligned.count() == 0
 
 
-def test_command_line(spark, tmp_path):
+def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.wav").write_bytes(wav(talk()))
     out = tmp_path / "out"
-    cli.main(["diarize", "--audio", str(tmp_path / "in"), "--out", str(out), "--onset", "0.6", "--offset", "0.4", "--threshold", "0.5", "--windows", "1.0;0.5", "--shifts", "0.5"])
+    cli.main(["diarize", "--audio", str(tmp_path / "in"), "--out", str(out), "--onset", "0.6", "--offset", "0.4", "--threshold", "0.5", "--windows", "1.0;0.5", "--shifts", "0.5", "--copy-out", str(tmp_path / "copy")])
     assert len(json.loads((out / "a_segments.json").read_text())) == 3
+    assert (tmp_path / "copy" / "a_segments.json").read_text() == (out / "a_segments.json").read_text()
+    assert "a: 998 frames" in capsys.readouterr().out
     people = tmp_path / "people"
     people.mkdir()
     for who, g in face_samples(spark).toPandas().groupby("participant"):
