@@ -878,6 +878,7 @@ def diarize_end_to_end(spark, sf_dir):
 
 _ALIGN = f"""{FRAMES},
     {_SCORES.split(FRAMES + ",")[1].split("pairs AS (")[0].strip().rstrip(",")},
+    moved AS (SELECT recording_id, seg_idx, "start" + 600 AS "start", "end" + 600 AS "end", speaker, dur FROM timed WHERE dur >= 20000),
     numbered AS (SELECT recording_id, participant, row_number() OVER (PARTITION BY recording_id, participant ORDER BY t, i) - 1 AS i, t, p AS mouth, mouth_open FROM samples),
     stepped AS (SELECT *, CAST(t - lag(t) OVER (PARTITION BY recording_id, participant ORDER BY i) AS FLOAT) AS gap FROM numbered),
     clocks AS (SELECT recording_id, participant, list_sort(list(gap) FILTER (WHERE gap IS NOT NULL)) AS gaps, list_sort(list(mouth)) AS xs FROM stepped GROUP BY ALL),
@@ -887,11 +888,11 @@ _ALIGN = f"""{FRAMES},
     sped AS (SELECT *, coalesce(abs(norm - lag(norm) OVER (PARTITION BY recording_id, participant ORDER BY i)) / greatest(dt, 1e-6), 0) AS speed FROM normed),
     fast AS (SELECT recording_id, participant, xs[CAST(round_even(0.95::DOUBLE * (len(xs) - 1), 0) AS BIGINT) + 1] AS p95 FROM (SELECT recording_id, participant, list_sort(list(speed)) AS xs FROM sped GROUP BY ALL)),
     active AS (SELECT s.*, least(greatest(speed / (p95 + 1e-6), 0), 1) AS spd FROM sped s JOIN fast USING (recording_id, participant)),
-    pairs AS (SELECT g.recording_id, seg_idx, participant, i, spd, mouth_open, dur FROM timed g JOIN active s ON g.recording_id = s.recording_id AND t >= "start"::FLOAT AND t <= "end"::FLOAT),
+    pairs AS (SELECT g.recording_id, seg_idx, participant, i, spd, mouth_open, dur FROM moved g JOIN active s ON g.recording_id = s.recording_id AND t >= "start"::FLOAT AND t <= "end"::FLOAT),
     moves AS (SELECT *, abs(mouth_open - lag(mouth_open) OVER (PARTITION BY recording_id, seg_idx, participant ORDER BY i)) AS step FROM pairs),
     stats AS (SELECT recording_id, seg_idx, participant, count(*) AS n, avg(spd) AS mean, stddev_pop(spd) AS std, avg(mouth_open) AS open_mean, coalesce(sum(step), 0) / max(dur) AS rate FROM moves GROUP BY ALL HAVING count(*) >= 3),
     scores AS (SELECT g.*, k.participant, pid_ord, (coalesce(mean, 0) + 0.5 * coalesce(std, 0)) * (0.85 + 0.15 * coalesce(open_mean, 0)) + 0.02 * least(coalesce(rate, 0), 2) AS combined
-               FROM timed g JOIN people k USING (recording_id) LEFT JOIN stats s ON s.recording_id = g.recording_id AND s.seg_idx = g.seg_idx AND s.participant = k.participant),
+               FROM moved g JOIN people k USING (recording_id) LEFT JOIN stats s ON s.recording_id = g.recording_id AND s.seg_idx = g.seg_idx AND s.participant = k.participant),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY recording_id, seg_idx ORDER BY round(combined, 12) DESC, pid_ord) AS n FROM scores),
     top AS (SELECT recording_id, seg_idx, any_value("start") AS "start", any_value("end") AS "end", any_value(speaker) AS speaker, max(participant) FILTER (WHERE n = 1) AS best_pid,
                    max(combined) FILTER (WHERE n = 1) AS best_val, max(participant) FILTER (WHERE n = 2) AS top2_pid, max(combined) FILTER (WHERE n = 2) AS top2_val FROM ranked GROUP BY recording_id, seg_idx),
@@ -917,11 +918,11 @@ _ALIGN = f"""{FRAMES},
     merged AS (WITH {_merge_sql("assigned", "recording_id", "participant", 30000.0, 'bool_or(ambiguous) AS ambiguous, arg_min(speaker, seg_idx) AS speaker')})
     SELECT recording_id, seg_idx, "start", "end", speaker, participant, ambiguous FROM merged""")
 def align_end_to_end(spark, sf_dir):
-    """The whole alignment: participants are event types, their mouths the clamped values."""
+    """The whole alignment: participants are event types, their mouths the clamped values; sound comes ten minutes late, and a third of the segments is too short."""
     people_samples = samples(spark, sf_dir).select(
         "recording_id", "participant", (F.row_number().over(Window.partitionBy("recording_id", "participant").orderBy("t", "i")) - 1).cast("long").alias("i"), "t", F.col("p").alias("mouth"), "mouth_open"
     )
-    aligned = alignment.align(segments(spark, sf_dir), people_samples, AlignOptions(smooth_ms=0.0, merge_gap=30_000.0)).aligned
+    aligned = alignment.align(segments(spark, sf_dir), people_samples, AlignOptions(smooth_ms=0.0, merge_gap=30_000.0, av_offset=600.0, min_seg=20_000.0)).aligned
     return aligned.select("recording_id", "seg_idx", "start", "end", "speaker", "participant", "ambiguous")
 
 
