@@ -8,7 +8,7 @@ import zipfile
 import numpy as np
 import pytest
 
-from chorale import cli
+from chorale import cli, queries
 from chorale.config import AlignOptions, DiarizeOptions, ExtractOptions
 from chorale.plans.align import align
 from chorale.plans.diarize import diagnostics, diarize, speech_probabilities
@@ -16,6 +16,7 @@ from chorale.plans.extract import extract
 from chorale.sources import audio, models, sinks, tables
 
 RATE = 16_000
+DATA = "/root/testdata/sf0.001"
 
 
 def wav(samples, rate=RATE, channels=1, width=2):
@@ -385,3 +386,27 @@ def test_streaming_equals_batch(spark, tmp_path):
         q.stop()
     whole = {(r["recording_id"], round(r["start"], 6), round(r["end"], 6)) for r in batch.collect()}
     assert streamed <= whole and len(whole - streamed) <= 2  # the last of a recording may still be open
+
+
+def _one_at_a_time(size):
+    """Files that fail where more than a few of them are held at once."""
+    alive = [0]
+
+    class Held(bytes):
+        def __del__(self):
+            alive[0] -= 1
+
+    def make(_):
+        alive[0] += 1
+        if alive[0] > 3:
+            raise MemoryError("files of many rows at once")
+        return Held(queries.wav_bytes(np.zeros(size)))
+
+    return make
+
+
+def test_recordings_are_made_one_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_wav_of", _one_at_a_time(800))
+    found = queries.wav_scan(spark, DATA).collect()
+    assert len(found) > 4 and {r.n_samples for r in found} == {800}
+    assert {r.n_frames for r in queries.vad_model(spark, DATA).collect()} == {r.n_frames for r in queries.mel_features(spark, DATA).collect()} == {3}
