@@ -176,12 +176,24 @@ def estimate(w: np.ndarray, max_speakers: int = 8, share: float = MAX_SHARE, vol
     return max(2, p * ratio), counts[at]
 
 
-def kmeans(x: np.ndarray, k: int, max_iter: int = 100, seed: int = 0) -> np.ndarray:
-    """Lloyd's rounds from distinct random rows; ties go to the lower cluster, an empty one moves to the origin."""
+def spread_start(x: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
+    """k rows: a random one, then each with a chance in proportion to its squared distance from those before (k-means++)."""
+    rng = np.random.default_rng(seed)
+    rows = [int(rng.integers(len(x)))]
+    apart = np.full(len(x), np.inf)
+    while len(rows) < k:
+        apart = np.minimum(apart, ((x - x[rows[-1]]) ** 2).sum(1))
+        total = apart.sum()
+        rows.append(int(rng.choice(len(x), p=apart / total if total > 0 else None)))
+    return x[rows].astype(float)
+
+
+def kmeans(x: np.ndarray, k: int, max_iter: int = 100, seed: int = 0, start: np.ndarray | None = None) -> np.ndarray:
+    """Lloyd's rounds from ``start`` or distinct random rows; ties go to the lower cluster, an empty one moves to the origin."""
     n = len(x)
     if not 1 <= k <= n:
         raise ValueError(f"k must lie between 1 and {n}")
-    centres = x[np.random.default_rng(seed).choice(n, k, replace=False)].astype(float)
+    centres = x[np.random.default_rng(seed).choice(n, k, replace=False)].astype(float) if start is None else start
     labels = np.zeros(n, int)
     for _ in range(max_iter):
         found = ((x[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)
@@ -194,7 +206,10 @@ def kmeans(x: np.ndarray, k: int, max_iter: int = 100, seed: int = 0) -> np.ndar
 
 
 def spectral_labels(graph: np.ndarray, k: int, trials: int = 10, seed: int = 0) -> np.ndarray:
-    """k-means on the eigenvectors of the k smallest eigenvalues of the Laplacian; the tightest of some trials."""
+    """k-means on the eigenvectors of the k smallest eigenvalues of the Laplacian; the tightest of some trials.
+
+    Random rows seldom start with one in each cluster, and Lloyd's rounds do not leave a cluster that was cut in two; so starts are spread.
+    """
     if len(graph) <= 1:
         return np.zeros(len(graph), int)
     k = min(k, len(graph))
@@ -205,7 +220,7 @@ def spectral_labels(graph: np.ndarray, k: int, trials: int = 10, seed: int = 0)
         centres = (members.T @ x) / np.maximum(members.sum(0), 1)[:, None]
         return float(((x - centres[labels]) ** 2).sum())
 
-    return min((kmeans(x, k, seed=seed + t) for t in range(max(1, trials))), key=spread)
+    return min((kmeans(x, k, start=spread_start(x, k, seed + t)) for t in range(max(1, trials))), key=spread)
 
 
 def silhouette_of(x: np.ndarray, labels: np.ndarray) -> float:

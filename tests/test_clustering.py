@@ -132,3 +132,14 @@ def test_many_vectors_are_agglomerated_without_their_pairs(monkeypatch):
     monkeypatch.setattr(c, "_BLOCK", 7)
     x = np.random.default_rng(3).normal(size=(60, 4))
     assert c.agglomerate(x, 0.5).tolist() == plain_agglomerate(x, 0.5).tolist()
+
+
+def test_spectral_labels_of_clear_clusters_with_copies():
+    """Two of five clusters were one where no random start had a row in each (found on six copies of each vector)."""
+    rng = np.random.default_rng(3)
+    for seed in range(6):
+        owner = np.repeat(np.arange(5), (30, 36, 42, 48, 60))
+        graph = (rng.random((216, 216)) < np.where(owner[:, None] == owner, 0.8, 0.02)).astype(float)
+        graph = (graph + graph.T) / 2
+        labels = c.spectral_labels(graph, 5, trials=1, seed=seed)
+        assert len(set(zip(labels, owner))) == 5
