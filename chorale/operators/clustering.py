@@ -39,20 +39,20 @@ def _nan_last(values: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(values), np.inf, values)
 
 
-def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
-    """Centroid linkage by cosine distance: the closest pair (first of ties) merges while within the threshold.
+def merges_of(x: np.ndarray, threshold: float = 0.3) -> list[tuple[int, int, float]]:
+    """The merges (i, j, distance) in order, of which j goes into i.  Centroid linkage by cosine distance: the closest pair (first of ties) merges while within the threshold.
 
     A cluster's direction is that of its members' sum.  Of the distances only each cluster's nearest later one is kept, so memory
     grows with the vectors and not with their pairs; a row is computed again where a merge may have changed it.  A distance
-    that is no number never wins, so the other vectors still merge.  Labels number clusters by their smallest member.
+    that is no number never wins, so the other vectors still merge.
     """
-    n = len(x)
+    n, merges = len(x), []
     if n <= 1:
-        return np.zeros(n, int)
+        return merges
     sums = x.astype(float).copy()
     lengths = np.linalg.norm(sums, axis=1)
     alive = np.ones(n, bool)
-    owner, nearest, closest = np.arange(n), np.zeros(n, int), np.full(n, np.inf)
+    nearest, closest = np.zeros(n, int), np.full(n, np.inf)
 
     def distances(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
         dots, norms = sums[rows] @ sums[columns].T, lengths[rows][:, None] * lengths[columns][None]
@@ -76,7 +76,7 @@ def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
         if not closest[i] <= threshold:
             break
         j = int(nearest[i])
-        owner[owner == j] = i
+        merges.append((i, j, float(closest[i])))
         sums[i] += sums[j]
         lengths[i] = np.linalg.norm(sums[i])
         alive[j], closest[j] = False, np.inf
@@ -89,9 +89,26 @@ def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
             d = distances(before, np.array([i]))[:, 0]
             won = (d < closest[before]) | ((d == closest[before]) & np.isfinite(d) & (i < nearest[before]))
             nearest[before[won]], closest[before[won]] = i, d[won]
+    return merges
+
+
+def labels_after(n: int, merges: list[tuple[int, int, float]], threshold: float) -> np.ndarray:
+    """Labels of n vectors by the merges before the first one beyond the threshold; they number clusters by their smallest member."""
+    owner = np.arange(n)
+    for i, j, d in merges:
+        if not d <= threshold:
+            break
+        owner[j] = i
+    while (owner[owner] != owner).any():
+        owner = owner[owner]
     return np.unique(owner, return_inverse=True)[1]
 
 
+def agglomerate(x: np.ndarray, threshold: float = 0.3) -> np.ndarray:
+    """Labels by centroid linkage within a threshold."""
+    return labels_after(len(x), merges_of(x, threshold), threshold)
+
+
 def affinity_of(x: np.ndarray) -> np.ndarray:
     n = len(x)
     if n <= 1:
@@ -224,23 +241,27 @@ def spectral_labels(graph: np.ndarray, k: int, trials: int = 10, seed: int = 0)
 
 
 def silhouette_of(x: np.ndarray, labels: np.ndarray) -> float:
-    names, own = np.unique(labels, return_inverse=True)
+    """The mean silhouette by cosine distance.  The mean distance of a unit u to n others with the sum S is 1 - u S / n, so no pairs
+    are held; blocks of rows meet all clusters, which can be as many as the rows.  A vector without length is at 1 from all."""
+    names, own, sizes = np.unique(labels, return_inverse=True, return_counts=True)
     if len(names) <= 1:
         return -1.0
-    d = cosine_distances(x)
-    np.fill_diagonal(d, 0.0)
-    members = np.eye(len(names))[own]
-    # A sum over members of which one distance is no number is none; a product with zeros would spread it to all clusters.
-    bad, sizes = np.isnan(d), members.sum(0)
-    sums = np.where(bad @ members > 0, np.nan, np.where(bad, 0.0, d) @ members)
-    at = np.arange(len(x))
-    inner = np.where(sizes[own] > 1, sums[at, own] / np.maximum(sizes[own] - 1, 1), 0.0)
-    outer = sums / sizes
-    outer[at, own] = np.inf
-    nearest = _nan_last(outer).min(1)
-    nearest = np.where(np.isinf(nearest), 0.0, nearest)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return float(((nearest - inner) / np.maximum(nearest, inner)).mean())
+    lengths = np.linalg.norm(x, axis=1, keepdims=True)
+    units = x / np.where(lengths == 0, 1.0, lengths)
+    sums = np.zeros((len(names), x.shape[1]))
+    np.add.at(sums, own, units)
+    scores = np.empty(len(x))
+    for at in range(0, len(x), _BLOCK):
+        u, mine = units[at : at + _BLOCK], own[at : at + _BLOCK]
+        along, rows, n = u @ sums.T, np.arange(len(u)), sizes[mine]
+        inner = np.where(n > 1, 1 - (along[rows, mine] - (u * u).sum(1)) / np.maximum(n - 1, 1), 0.0)
+        outer = 1 - along / sizes
+        outer[rows, mine] = np.inf
+        nearest = _nan_last(outer).min(1)
+        nearest = np.where(np.isinf(nearest), 0.0, nearest)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            scores[at : at + _BLOCK] = (nearest - inner) / np.maximum(nearest, inner)
+    return float(scores.mean())
 
 
 def search_threshold(x: np.ndarray, low: float = 0.10, high: float = 0.50, step: float = 0.02, penalty: float = 0.05) -> tuple[np.ndarray, float, float]:
@@ -251,9 +272,10 @@ def search_threshold(x: np.ndarray, low: float = 0.10, high: float = 0.50, step:
     if len(x) <= 1:
         return agglomerate(x, high), high, 0.0
     best = None, low, -np.inf
+    merges = merges_of(x, high + step / 2)  # those of every threshold, each of which takes the first so many
     for i in range(int(round((high - low) / step)) + 1):
         threshold = low + i * step
-        labels = agglomerate(x, threshold)
+        labels = labels_after(len(x), merges, threshold)
         score = silhouette_of(x, labels) - penalty * len(set(labels.tolist()))
         if score > best[2]:
             best = labels, threshold, score
@@ -309,4 +331,4 @@ def threshold_searches(vectors: DataFrame, key: str = "recording_id", idx: str =
         labels, threshold, score = search_threshold(x)
         return pd.DataFrame({key: pdf[key], idx: pdf[idx], "label": labels, "threshold": threshold, "score": score})
 
-    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int, threshold double, score double", work)
+    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int, threshold double, score double", work, False)

@@ -143,3 +143,20 @@ def test_spectral_labels_of_clear_clusters_with_copies():
         graph = (graph + graph.T) / 2
         labels = c.spectral_labels(graph, 5, trials=1, seed=seed)
         assert len(set(zip(labels, owner))) == 5
+
+
+def test_threshold_search_holds_no_pairs():
+    import tracemalloc
+
+    x, owner = planted(5, 800)
+    tracemalloc.start()
+    labels, _, _ = c.search_threshold(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert same_partition(labels, owner) and peak < 4000 * 4000 * 8  # one matrix of all distances
+    few, owner = planted(3, 6)
+    distances = c.cosine_distances(few)
+    means = np.array([[distances[i][(owner == k) & (np.arange(18) != i)].mean() for k in range(3)] for i in range(18)])
+    inner = means[np.arange(18), owner]
+    means[np.arange(18), owner] = np.inf
+    assert c.silhouette_of(few, owner) == pytest.approx(((means.min(1) - inner) / np.maximum(means.min(1), inner)).mean(), abs=1e-12)
