@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,18 @@ def test_sticky_assignment_is_a_fold(spark, monkeypatch, block):
                 here = value if held == best else other if held == second and other > 0 else 0.0
                 held = held if ambiguous and held is not None and here >= 0.6 * value else choice
             assert got[r, i] == held
+
+
+def test_nearest_vectors_make_no_rows_of_pairs(spark, monkeypatch):
+    """Blocks of three, copies whose ties go to the lowest ids: as all pairs have it."""
+    monkeypatch.setattr(vectors, "BLOCK", 3)
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(6, 4))
+    rows = [(f"r{n % 2}", n, base[n * 7 % 6].tolist()) for n in range(40)]
+    df = spark.createDataFrame(rows, "recording_id string, sub_idx long, vec array<double>")
+    every = vectors.cosine_affinity(df, ["recording_id"])
+    want = vectors.nearest(every.withColumn("w", F.round("w", 9)), ["recording_id"], 5)
+    got = vectors.nearest_vectors(df, ["recording_id"], 5)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 200 and every.count() == 800
+    some = vectors.cosine_affinity(df, ["recording_id"], rows=F.col("sub_idx") % 10 == 0)
+    assert sorted(some.withColumn("w", F.round("w", 9)).collect()) == sorted(every.where("i % 10 = 0").withColumn("w", F.round("w", 9)).collect())
