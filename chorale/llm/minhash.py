@@ -6,10 +6,9 @@ five-word shingles, and pairs that an exact check of the shingles finds at 0.8 o
 from MinHash: 20 bands of five values, of which texts of similarity s share one with probability 1 - (1 - s^5)^20, 0.9996
 at 0.8.  Texts with the same shingles are one node.
 
-In a band with few texts all pairs are candidates.  In a dense band each text is compared to a few leaders, which joins most
-large groups at the cost of their size.  What is still apart there is looked at again under finer keys, a dense band together
-with one of the next three: again all pairs of few, and leaders of many.  So candidates grow with the texts, not with the
-square of a group; a link between texts of a large group that share no fine key with few texts, and no leader, can be missed (README).
+In a band with few texts all pairs are candidates.  In a dense band each text is first compared to a few leaders, which joins most
+large groups at the cost of their size.  What is still apart there is compared in full, by blocks of texts as sets of shingle
+hashes: a task meets two blocks at a time and returns only which groups are linked, so pairs are never rows.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +28,10 @@ from .simhash import SEED, fingerprint_links, fingerprint_of, shingle_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_VALUES = 20, 5
-#: Texts in a band above which it is dense, the leaders that its texts are compared to, and the next bands that refine it.
-DENSE, LEADERS, FINER = 32, 4, 3
+#: Texts in a band above which it is dense, and the leaders that its texts are compared to.
+DENSE, LEADERS = 32, 4
+#: Texts of a block, tasks that share a dense band's blocks, and shingles of two blocks that are looked at at once.
+BLOCK, PARTS, _COLUMNS = 128, 8, 4096
 #: Rows up to this many are broadcast (a few MB); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Shingle hashes that are permuted at once.
@@ -115,16 +116,88 @@ def _band_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.union(led.where("apart <> leader.apart").select(_pair(F.col("row"), F.col("leader")).alias("p"))), dense.select("key")
 
 
+def _texts(marked: DataFrame, wanted: DataFrame, row: str, text: Column) -> DataFrame:
+    """(node, text) of rows (node, row)."""
+    return marked.select(row, text.alias("text")).join(_small(checkpointed(wanted)), row).select("node", "text")
+
+
 def _linked(candidates: DataFrame, marked: DataFrame, best: DataFrame, row: str, text: Column) -> DataFrame:
     """The candidates (a, b) that are similar; ``best`` has the row of each node whose text is read."""
     pairs = written(candidates, "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = checkpointed(best.join(ends, "node"))
-    texts = written(marked.select(row, text.alias("text")).join(_small(wanted), row).select("node", "text"), "texts")
+    texts = written(_texts(marked, best.join(ends, "node"), row, text), "texts")
     one, two = (texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
     return checkpointed(pairs.join(one, "a").join(two, "b").where(checked("text_a", "text_b")).select("a", "b"))
 
 
+def _hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        yield pa.array([np.unique(shingle_hashes(t.as_py() or b"", SHINGLE_WORDS)).view(np.int64) for t in texts.cast(pa.binary())], pa.list_(pa.int64()))
+
+
+hashes_of = F.arrow_udf(_hashes, T.ArrayType(T.LongType()))
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of the left has in common with each of the right."""
+    known = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    found = np.zeros((len(left), len(right)), np.float32)
+    places = [[np.searchsorted(known, x[np.isin(x, known)]) for x in side] for side in (left, right)]
+    for at in range(0, len(known), _COLUMNS):
+        marks = []
+        for side in places:
+            marks.append(np.zeros((len(side), _COLUMNS), np.float32))
+            for n, x in enumerate(side):
+                marks[-1][n, x[(x >= at) & (x < at + _COLUMNS)] - at] = 1
+        found += marks[0] @ marks[1].T
+    return found
+
+
+def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Of pairs of groups those that link what the ones before do not."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.get(x, x) != x:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    kept = []
+    for a, b in pairs.tolist():
+        if (x := top(a)) != (y := top(b)):
+            above[y] = x
+            kept.append((a, b))
+    return kept
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for n in range(len(batch)):
+            sides = [batch.column(c)[n].values for c in (0, 1)]
+            groups = [s.field("apart").to_numpy() for s in sides]
+            sets = [[x.values.to_numpy() for x in s.field("hashes")] for s in sides]
+            sizes = [np.array([len(x) for x in side]) for side in sets]
+            both = common(*sets).astype(np.int64)
+            near = (both >= SIMILARITY * (sizes[0][:, None] + sizes[1] - both)) & (groups[0][:, None] != groups[1])
+            i, j = np.nonzero(near)
+            links = _forest(np.unique(np.stack([groups[0][i], groups[1][j]], 1), axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _dense_links(placed: DataFrame, marked: DataFrame, best: DataFrame, row: str, text: Column) -> DataFrame:
+    """Links (a, b) between groups: of all pairs of rows (key, node, apart) with one key, those similar that differ in ``apart``."""
+    open_keys = placed.groupBy("key").agg(F.min("apart").alias("low"), F.max("apart").alias("high")).where("low < high").select("key")
+    placed = checkpointed(placed.join(_small(open_keys), "key", "left_semi"))
+    texts = _texts(marked, best.join(placed.select("node").distinct(), "node"), row, text)
+    sets = written(texts.select("node", hashes_of("text").alias("hashes")), "hashes")
+    block = F.floor((F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1) / BLOCK)
+    blocks = placed.withColumn("block", block).join(sets, "node").groupBy("key", "block").agg(F.collect_list(F.struct("apart", "hashes")).alias("texts"))
+    blocks = written(blocks, "blocks")
+    left = blocks.select("key", F.pmod("block", F.lit(PARTS)).alias("part"), F.col("block").alias("first"), F.col("texts").alias("one"))
+    right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"), F.col("block").alias("second"), F.col("texts").alias("two"))
+    return left.join(right, ["key", "part"]).where("first <= second").select("one", "two").mapInArrow(_met, "a long, b long")
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies: the one with the smallest id (a null id is smaller), then any one of equal ids.
 
@@ -156,15 +229,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = checkpointed(links.union(_linked(_candidates(pairs), marked, best, row, text)))
     members = components(links)
 
-    # In dense bands, finer keys for what is still apart.
+    # In dense bands, all pairs of what is still apart: links lead from root to root.
     if not dense.isEmpty():
-        placed = nodes.select("node", "size", "bands", F.posexplode("bands").alias("i", "key")).join(_small(dense), "key", "left_semi")
-        finer = F.explode(F.array(*[F.xxhash64("key", F.get("bands", (F.col("i") + s) % BANDS)) for s in range(1, FINER + 1)])).alias("key")
-        rooted = placed.select("node", "size", finer).join(members, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("apart"))
-        more = _linked(_candidates(_band_pairs(checkpointed(rooted))[0]), marked, best, row, text)
-        # Between groups, of which there are few: each link leads from root to root.
-        for end in "ab":
-            more = more.join(members.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+        placed = nodes.select("node", F.explode("bands").alias("key")).join(_small(dense), "key", "left_semi")
+        rooted = placed.join(members, "node", "left").select("key", "node", F.coalesce("root", "node").alias("apart"))
+        more = checkpointed(_dense_links(rooted, marked, best, row, text))
         further = checkpointed(components(more).select(F.col("node").alias("root"), F.col("root").alias("top")))
         every = members.unionByName(further.select(F.col("root").alias("node"), "root")).distinct()  # a group of one has no row yet
         members = every.join(further, "root", "left").select("node", F.coalesce("top", "root").alias("root"))

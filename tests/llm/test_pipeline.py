@@ -66,3 +66,20 @@ def test_stages_on_no_rows(spark, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_dense_bands_lose_no_link(spark, monkeypatch):
+    """A chain of texts, each like the next, in bands where leaders and finer keys reached few: it stays one group."""
+    monkeypatch.setattr(minhash, "DENSE", 2)
+    monkeypatch.setattr(minhash, "LEADERS", 1)
+    words = [f"w{n}" for n in range(1200)]
+    texts = [" ".join(words[4 * n : 4 * n + 60]) for n in range(120)]
+    sets = [minhash.shingles_of(t.encode()) for t in texts]
+    assert all(minhash.similar(a, b) for a, b in zip(sets, sets[1:])) and not minhash.similar(sets[0], sets[2])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bands = [set(minhash.signature_of(t.encode())[3]) for t in texts]
+    root = list(range(len(texts)))
+    for n in range(1, len(texts)):
+        if bands[n] & bands[n - 1]:
+            root[n] = root[n - 1]
+    assert sorted(r["doc_id"] for r in minhash.deduplicate(docs).collect()) == sorted(set(root))
