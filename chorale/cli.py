@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
 
         blocks, summary = extract(spark, args.workbooks, options_from(args, ExtractOptions()))
         out = args.out.rstrip("/")
-        sinks.write_texts(sinks.participant_csv(blocks), lambda row: f"{out}/{row['recording_id']}/{row['participant']}.csv", "csv")
+        sinks.write_files(sinks.participant_csv(blocks), out, lambda row: f"{row['recording_id']}/{row['participant']}.csv", "csv")
         sinks.write_csv(summary, f"{out}/participants_summary")
     else:
         from .operators.scoring import score_matrix

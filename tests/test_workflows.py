@@ -210,6 +210,23 @@ def test_wav_files_without_the_driver(spark, monkeypatch):
     assert queries.wav_files(spark, DATA).count() > 0
 
 
+def test_participant_files_without_the_driver(spark, monkeypatch):
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    monkeypatch.setattr(sinks, "write_bytes", None)
+    assert queries.participant_files(spark, DATA).count() > 0
+
+
+def test_many_participant_files_need_few_tasks(spark, tmp_path):
+    for k in range(200):
+        (tmp_path / f"r{k % 3}").mkdir(exist_ok=True)
+        (tmp_path / f"r{k % 3}" / f"participant_{k}.csv").write_text(f"time_sec,mouth_score_raw,mouth_open\n{k},1,0\n\n{k + 1},2,1\n" if k else "")
+    found = tables.read_participants(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = {(r["recording_id"], r["participant"], r["i"], r["t"]) for r in found.collect()}
+    assert got == {(f"r{k % 3}", f"participant_{k}", i, k + i) for k in range(1, 200) for i in range(2)}
+
+
 def test_only_the_first_recordings_are_opened(spark, tmp_path):
     for n, name in enumerate(("b.wav", "a b%.wav", "c.wav")):
         (tmp_path / name).write_bytes(wav(np.zeros(RATE * (1 + 9 * (n == 2)))))
