@@ -1,13 +1,15 @@
 """Clustering of the vectors of one recording at a time, with numpy, inside ``applyInPandas``.
 
 Recordings are independent, so they run in parallel; inside one, distances are matrix products, and merging keeps
-running sums of members in place of recomputed centroids.  The spectral method holds a recording's affinity and is held to
-``MAX_VECTORS``; the agglomerative one holds the vectors only.
+running sums of members in place of recomputed centroids.  Neither method holds a recording's pairs as numbers: the agglomerative one
+holds the vectors only, the spectral one a bit for each pair of a large recording, in a file where there are many.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,10 +21,14 @@ from ..shipping import ship
 EPS = 1e-10
 #: The value of the affinity subsampling, and the share of rows and number of tries in the search for p.
 SAMPLE_SIZE, MAX_SHARE, SEARCH_VOLUME = 512, 0.25, 30
-#: Vectors of one recording whose affinity fits a task: the spectral method holds it, and 20,000 take 3.2 GB.
-MAX_VECTORS = 20_000
 #: Rows of distances that agglomeration makes at once.
 _BLOCK = 512
+#: Vectors of one recording up to which the spectral method holds the affinity and finds all eigenvectors.
+DENSE = 1_024
+#: Numbers of an affinity that are made at once beyond that, and bytes of graph from which it is in a file.
+_CELLS, _IN_MEMORY = 1 << 21, 1 << 28
+#: The residual of an eigenvector, as a share of the largest eigenvalue's bound.
+_RESIDUAL = 1e-9
 
 
 def cosine_distances(x: np.ndarray) -> np.ndarray:
@@ -120,6 +126,103 @@ def affinity_of(x: np.ndarray) -> np.ndarray:
     return np.ones((n, n)) if span < 1e-12 else (w - low) / span
 
 
+def affinity_rows(x: np.ndarray, scaled: bool = True) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of ``affinity_of``, some at a time, each with the number of its first."""
+    n = len(x)
+    u = x / (np.linalg.norm(x, axis=1, keepdims=True) + EPS)
+    low, span = affinity_range(x) if scaled else (0.0, 1.0)
+    step = max(1, _CELLS // max(1, n))
+    for at in range(0, n, step):
+        w = u[at : at + step] @ u.T
+        w[np.arange(len(w)), at + np.arange(len(w))] = 1.0
+        if scaled:
+            w = np.ones_like(w) if span < 1e-12 else (w - low) / span
+        yield at, w
+
+
+def affinity_range(x: np.ndarray) -> tuple[float, float]:
+    """The least cosine of all pairs, and how far the largest lies above it."""
+    low, high = np.inf, -np.inf
+    for _, w in affinity_rows(x, scaled=False):
+        low, high = min(low, np.nanmin(w)), max(high, np.nanmax(w))
+    return float(low), float(high - low)
+
+
+def sampled_affinity(x: np.ndarray, size: int = SAMPLE_SIZE) -> tuple[np.ndarray, int]:
+    """``affinity_of`` in the rows and columns that ``estimate`` looks at, and the step between them."""
+    ratio = subsampling(len(x), size)
+    if len(x) <= DENSE:
+        return affinity_of(x)[::ratio, ::ratio], ratio
+    u = x / (np.linalg.norm(x, axis=1, keepdims=True) + EPS)
+    w = u[::ratio] @ u[::ratio].T
+    np.fill_diagonal(w, 1.0)
+    low, span = affinity_range(x)
+    return np.ones_like(w) if span < 1e-12 else (w - low) / span, ratio
+
+
+class Neighbours:
+    """The graph that ``graph_of`` makes of ``affinity_of``, as a bit for each pair.  It is multiplied by blocks of rows."""
+
+    def __init__(self, x: np.ndarray, p: int) -> None:
+        self.n, p = len(x), min(p, len(x))
+        shape = self.n, (self.n + 7) // 8
+        self.file = tempfile.TemporaryFile() if shape[0] * shape[1] > _IN_MEMORY else None
+        self.bits = np.empty(shape, np.uint8) if self.file is None else np.memmap(self.file, np.uint8, "w+", shape=shape)
+        chosen_by = np.zeros(self.n)
+        for at, w in affinity_rows(x):
+            w[np.isnan(w)] = -np.inf
+            cut = np.partition(w, self.n - p, axis=1)[:, self.n - p, None]
+            chosen, tied = w > cut, w == cut
+            chosen |= tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= p - chosen.sum(1, keepdims=True))
+            chosen_by += chosen.sum(0)
+            self.bits[at : at + len(w)] = np.packbits(chosen, axis=1)
+        self.degrees = (p + chosen_by) / 2
+
+    def laplacian_times(self, v: np.ndarray) -> np.ndarray:
+        """Loops take nothing from the product: they count in the degree too."""
+        ahead, back = np.empty_like(v), np.zeros_like(v)
+        step = max(1, _CELLS // self.n)
+        for at in range(0, self.n, step):
+            chosen = np.unpackbits(self.bits[at : at + step], axis=1, count=self.n).astype(float)
+            ahead[at : at + step] = chosen @ v
+            back += chosen.T @ v[at : at + step]
+        return self.degrees[:, None] * v - (ahead + back) / 2
+
+
+def smallest_eigenvectors(times: Callable[[np.ndarray], np.ndarray], n: int, k: int, bound: float, seed: int = 0) -> np.ndarray:
+    """The eigenvectors of the k smallest eigenvalues of a symmetric matrix that is known by its products; ``bound``: of its eigenvalues.
+
+    A block Krylov method.  The block has more columns than are asked for, so equal eigenvalues are all found.  It goes on until the residuals
+    are small; each restart gets a larger space, which in the end is the whole one.
+    """
+    width, small = min(n, k + 4), _RESIDUAL * bound
+    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, width)))[0]
+    basis, images, room = np.empty((n, 0)), np.empty((n, 0)), 8 * width
+    while True:
+        basis, images = np.hstack([basis, block]), np.hstack([images, times(block)])
+        inner = basis.T @ images
+        values, turn = np.linalg.eigh((inner + inner.T) / 2)
+        found = basis @ turn[:, :k]
+        residuals = np.linalg.norm(images @ turn[:, :k] - found * values[:k], axis=0)
+        if (residuals <= small).all() or basis.shape[1] >= n:
+            return found
+        block = _beside(basis, images[:, -block.shape[1] :], 1e-3 * small)
+        if not block.shape[1]:  # nothing new, though not all residuals are small: go on at random
+            block = _beside(basis, np.random.default_rng(seed + basis.shape[1]).normal(size=(n, min(width, n - basis.shape[1]))), 0.0)
+        if basis.shape[1] + block.shape[1] > room:
+            basis, images, room = basis @ turn[:, : room // 2], images @ turn[:, : room // 2], room + 2 * width
+
+
+def _beside(basis: np.ndarray, fresh: np.ndarray, least: float) -> np.ndarray:
+    """An orthonormal basis of what ``fresh`` adds to another one; directions shorter than ``least`` are nothing."""
+    for _ in range(2):
+        fresh = fresh - basis @ (basis.T @ fresh)
+    u, sizes, _ = np.linalg.svd(fresh, full_matrices=False)
+    u = u[:, sizes > least]
+    u = u - basis @ (basis.T @ u)
+    return np.linalg.qr(u)[0]
+
+
 def graph_of(w: np.ndarray, p: int) -> np.ndarray:
     """The symmetrised graph of the p strongest of each row; ties go to the lower index."""
     chosen = np.zeros_like(w)
@@ -169,12 +272,21 @@ def first_connected_after(w: np.ndarray, candidates: list[int]) -> int:
     return next((p for previous, p in zip(before, candidates) if connected(graph_of(w, previous))), 2)
 
 
+def subsampling(n: int, size: int = SAMPLE_SIZE) -> int:
+    """The step between the vectors that the search for p looks at."""
+    return max(1, n // size) if n > size else 1
+
+
 def estimate(w: np.ndarray, max_speakers: int = 8, share: float = MAX_SHARE, volume: int = SEARCH_VOLUME, size: int = SAMPLE_SIZE, fixed: float = -1.0, majority: bool = False) -> tuple[int, int]:
     """(p, number of speakers) by the smallest ratio of p to the normalised largest eigengap."""
+    ratio = subsampling(len(w), size)
+    return estimate_sampled(w[::ratio, ::ratio], ratio, max_speakers, share, volume, fixed, majority)
+
+
+def estimate_sampled(w: np.ndarray, ratio: int, max_speakers: int = 8, share: float = MAX_SHARE, volume: int = SEARCH_VOLUME, fixed: float = -1.0, majority: bool = False) -> tuple[int, int]:
+    """``estimate`` on what was subsampled already."""
     if not len(w):
         return 2, 1
-    ratio = max(1, len(w) // size) if len(w) > size else 1
-    w = w[::ratio, ::ratio]
     n = len(w)
     candidates = p_candidates(n, max(2, int(n * (fixed if fixed > 0 else share))), fixed > 0, volume)
     ratios, counts = [], []
@@ -230,7 +342,24 @@ def spectral_labels(graph: np.ndarray, k: int, trials: int = 10, seed: int = 0)
     if len(graph) <= 1:
         return np.zeros(len(graph), int)
     k = min(k, len(graph))
-    x = np.linalg.eigh(laplacian_of(graph))[1][:, :k]
+    return tightest(np.linalg.eigh(laplacian_of(graph))[1][:, :k], k, trials, seed)
+
+
+def spectral(x: np.ndarray, max_speakers: int = 8) -> np.ndarray:
+    """Labels of vectors by the spectral method; those of many without their affinity as a whole."""
+    if len(x) <= DENSE:
+        w = affinity_of(x)
+        p, k = estimate(w, max_speakers)
+        return spectral_labels(graph_of(w, p), k)
+    p, k = estimate_sampled(*sampled_affinity(x), max_speakers)
+    if k == 1:
+        return np.zeros(len(x), int)
+    graph = Neighbours(x, p)
+    return tightest(smallest_eigenvectors(graph.laplacian_times, len(x), k, 2 * graph.degrees.max()), k)
+
+
+def tightest(x: np.ndarray, k: int, trials: int = 10, seed: int = 0) -> np.ndarray:
+    """The labels with the least squares of some trials of k-means."""
 
     def spread(labels: np.ndarray) -> float:
         members = np.eye(k)[labels]
@@ -282,13 +411,11 @@ def search_threshold(x: np.ndarray, low: float = 0.10, high: float = 0.50, step:
     return best if best[0] is not None else (agglomerate(x, low), low, -np.inf)
 
 
-def _per_recording(vectors: DataFrame, key: str, idx: str, vec: str, schema: str, work, bounded: bool = True) -> DataFrame:
-    """``work`` on each recording's rows in order; ``bounded`` where it holds all pairs at once."""
+def _per_recording(vectors: DataFrame, key: str, idx: str, vec: str, schema: str, work) -> DataFrame:
+    """``work`` on each recording's rows in order."""
     ship(vectors.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if bounded and len(pdf) > MAX_VECTORS:
-            raise ValueError(f"{pdf[key].iloc[0]} has more than {MAX_VECTORS} vectors")
         pdf = pdf.sort_values(idx, kind="stable")
         return work(pdf, np.array(pdf[vec].tolist(), float))
 
@@ -303,22 +430,17 @@ def cluster_labels(vectors: DataFrame, key: str = "recording_id", idx: str = "su
     """(key, idx, label) per vector, by the agglomerative or the spectral method."""
 
     def work(pdf: pd.DataFrame, x: np.ndarray) -> pd.DataFrame:
-        if method == "agglomerative":
-            labels = agglomerate(x, threshold)
-        else:
-            w = affinity_of(x)
-            p, k = estimate(w, max_speakers)
-            labels = spectral_labels(graph_of(w, p), k)
+        labels = agglomerate(x, threshold) if method == "agglomerative" else spectral(x, max_speakers)
         return pd.DataFrame({key: pdf[key], idx: pdf[idx], "label": labels})
 
-    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int", work, method != "agglomerative")
+    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int", work)
 
 
 def speaker_estimates(vectors: DataFrame, key: str = "recording_id", idx: str = "sub_idx", vec: str = "vec", max_speakers: int = 8) -> DataFrame:
     """(key, p, n_speakers) per recording."""
 
     def work(pdf: pd.DataFrame, x: np.ndarray) -> pd.DataFrame:
-        p, k = estimate(affinity_of(x), max_speakers)
+        p, k = estimate_sampled(*sampled_affinity(x), max_speakers)
         return pd.DataFrame({key: pdf[key].iloc[:1], "p": [p], "n_speakers": [k]})
 
     return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, p int, n_speakers int", work)
@@ -331,4 +453,4 @@ def threshold_searches(vectors: DataFrame, key: str = "recording_id", idx: str =
         labels, threshold, score = search_threshold(x)
         return pd.DataFrame({key: pdf[key], idx: pdf[idx], "label": labels, "threshold": threshold, "score": score})
 
-    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int, threshold double, score double", work, False)
+    return _per_recording(vectors, key, idx, vec, f"`{key}` {_kind(vectors, key)}, `{idx}` {_kind(vectors, idx)}, label int, threshold double, score double", work)

@@ -160,3 +160,59 @@ def test_threshold_search_holds_no_pairs():
     inner = means[np.arange(18), owner]
     means[np.arange(18), owner] = np.inf
     assert c.silhouette_of(few, owner) == pytest.approx(((means.min(1) - inner) / np.maximum(means.min(1), inner)).mean(), abs=1e-12)
+
+
+def test_many_vectors_are_labelled_without_their_affinity(monkeypatch):
+    """Recordings of 10,000 vectors and more: all pairs as numbers took an executor's memory."""
+    import tracemalloc
+
+    import pandas as pd
+
+    monkeypatch.setattr(c, "_CELLS", 1 << 18, raising=False)
+    monkeypatch.setattr(c, "_per_recording", lambda *given: given[5])  # what is done with one recording
+    monkeypatch.setattr(c, "_kind", lambda *_: "int")
+    x, owner = planted(5, 640, 64)
+    order = np.random.default_rng(1).permutation(3200)
+    x, owner, rows = x[order], owner[order], pd.DataFrame({"recording_id": 0, "sub_idx": range(3200)})
+    tracemalloc.start()
+    labels = c.cluster_labels(None, method="spectral")(rows, x)["label"].tolist()
+    counts = c.speaker_estimates(None)(rows, x)["n_speakers"].tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert same_partition(labels, owner) and counts == [5] and peak < 3200 * 3200 * 8 / 2  # half of one affinity
+
+
+def test_sampled_affinity_is_that_of_the_whole():
+    x, _ = planted(5, 240, 64)
+    w, ratio = c.sampled_affinity(x)
+    assert len(x) > c.DENSE and ratio == 2 and np.allclose(w, c.affinity_of(x)[::2, ::2], rtol=0, atol=1e-12)
+    assert c.estimate_sampled(w, ratio) == c.estimate(c.affinity_of(x))
+
+
+@pytest.mark.parametrize("in_memory", [0, 1 << 28])
+def test_graph_of_bits_is_the_graph(monkeypatch, in_memory):
+    monkeypatch.setattr(c, "_CELLS", 1000)
+    monkeypatch.setattr(c, "_IN_MEMORY", in_memory)
+    rng = np.random.default_rng(5)
+    few = np.eye(4)[rng.integers(0, 4, 61)]  # many ties, and lengths without rounding
+    holes = rng.normal(size=(61, 4))
+    holes[[3, 40]], holes[50] = np.nan, 0
+    for x in (few, holes, np.ones((61, 4))):
+        for p in (2, 7, 60, 61, 99):
+            expected = c.laplacian_of(c.graph_of(c.affinity_of(x), p))
+            assert np.allclose(c.Neighbours(x, p).laplacian_times(np.eye(61)), expected, atol=1e-12)
+
+
+def test_smallest_eigenvectors():
+    rng = np.random.default_rng(2)
+    sets = np.kron(np.eye(6), np.ones((20, 20)))  # six components: the eigenvalue 0 six times
+    chain = (abs(np.subtract.outer(np.arange(300), np.arange(300))) <= 2).astype(float)  # small gaps, so many restarts
+    full = (rng.random((90, 90)) < 0.5).astype(float)
+    for graph in (sets, chain, full + full.T, np.zeros((9, 9)), np.ones((40, 40))):
+        laplacian = c.laplacian_of(graph)
+        exact = np.linalg.eigvalsh(laplacian)
+        for k in (1, 2, 5, 8):
+            got = c.smallest_eigenvectors(lambda v, m=laplacian: m @ v, len(graph), k, 2 * max(graph.sum(1).max(), 1))
+            assert got.shape == (len(graph), k) and np.allclose(got.T @ got, np.eye(k), atol=1e-8)
+            assert np.allclose(np.diag(got.T @ laplacian @ got), exact[:k], atol=1e-6)
+            assert np.abs(laplacian @ got - got * exact[:k]).max() < 1e-5
